@@ -12,14 +12,15 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from pvspark.operators.segments import running_last, segment_of
+from pvspark.operators.segments import fitting_width, running_last, segment_of
+from pvspark.session import materialise
 from pvspark.sizing import checked_broadcast
 
 # --- fixed values: record kinds ----------------------------------------------------
 HEADER, DATA, TAIL = 0, 1, 2
 # -----------------------------------------------------------------------------------
 
-SEGMENT_OFFSETS = 1 << 20
+SEGMENT_OFFSETS = 1 << 30
 
 EPOCHS = (
     "topic STRING, header_offset BIGINT, iteration BIGINT, header_timestamp BIGINT, "
@@ -34,7 +35,14 @@ def _control(records: DataFrame) -> DataFrame:
     )
 
 
-def robust_epochs(records: DataFrame, segment_offsets: int = SEGMENT_OFFSETS) -> DataFrame:
+def _in_segments(df: DataFrame, segment_offsets: int | None) -> DataFrame:
+    """Add ``__segment`` along the offset; its width is measured unless given."""
+    at = F.col("offset")
+    width = segment_offsets or fitting_width(df, ["topic"], at, SEGMENT_OFFSETS)
+    return df.withColumn("__segment", segment_of(at, width))
+
+
+def robust_epochs(records: DataFrame, segment_offsets: int | None = None) -> DataFrame:
     """Every header with the first tail of its own iteration before the next header.
 
     A lost tail costs one iteration: its ``tail_offset`` is null.
@@ -49,9 +57,7 @@ def robust_epochs(records: DataFrame, segment_offsets: int = SEGMENT_OFFSETS) ->
         ),
     )
     placed = running_last(
-        _control(records)
-        .withColumn("__segment", segment_of(F.col("offset"), segment_offsets))
-        .withColumn("__opened", opened),
+        _in_segments(_control(records), segment_offsets).withColumn("__opened", opened),
         ["topic"], "__segment", ["offset"], "__opened", "__epoch",
     )
     tail = F.when(
@@ -107,7 +113,7 @@ def exact_epochs(records: DataFrame) -> DataFrame:
 
 
 def place_data(
-    records: DataFrame, epochs: DataFrame, segment_offsets: int = SEGMENT_OFFSETS
+    records: DataFrame, epochs: DataFrame, segment_offsets: int | None = None
 ) -> DataFrame:
     """Data records under their completed iteration, one row per value.
 
@@ -125,9 +131,7 @@ def place_data(
             "header_offset", "iteration", "header_timestamp", "tail_offset", "tail_timestamp"
         ).alias("__opened"),
     )
-    line = data.unionByName(headers, allowMissingColumns=True).withColumn(
-        "__segment", segment_of(F.col("offset"), segment_offsets)
-    )
+    line = _in_segments(data.unionByName(headers, allowMissingColumns=True), segment_offsets)
     filled = running_last(line, ["topic"], "__segment", ["offset"], "__opened", "__epoch")
     return filled.where(
         F.col("__opened").isNull()
@@ -148,7 +152,7 @@ def place_data(
 
 
 def reassemble(
-    records: DataFrame, mode: str = "robust", segment_offsets: int = SEGMENT_OFFSETS
+    records: DataFrame, mode: str = "robust", segment_offsets: int | None = None
 ) -> DataFrame:
     """Values of every completed iteration, one row per value, ordered by offset."""
     if mode not in ("robust", "exact"):
@@ -156,7 +160,7 @@ def reassemble(
     epochs = (
         robust_epochs(records, segment_offsets) if mode == "robust" else exact_epochs(records)
     )
-    return place_data(records, epochs, segment_offsets)
+    return place_data(records, materialise(epochs), segment_offsets)
 
 
 def completed_iterations(epochs: DataFrame, values: DataFrame, pv_list: DataFrame) -> DataFrame:

@@ -22,6 +22,34 @@ def segment_of(position: Column, width: int) -> Column:
     return floor_div(position, F.lit(width).cast("bigint"))
 
 
+# Rows one task sorts at most for one key.
+SEGMENT_ROWS = 2_000_000
+# Values one list cell holds at most; longer lists come in parts.
+LIST_VALUES = 100_000
+
+
+def fitting_width(
+    df: DataFrame,
+    keys: Sequence[str],
+    position: Column,
+    widest: int,
+    max_rows: int = SEGMENT_ROWS,
+) -> int:
+    """The segment width at which the busiest key has at most about ``max_rows`` per segment.
+
+    Counts per key and widest segment are one map-side-combined aggregate over two columns;
+    only the largest count reaches the driver.  The width only decides how work is split,
+    never the result.
+    """
+    busiest = (
+        df.groupBy(*keys, segment_of(position, widest).alias("__segment"))
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .agg(F.max("__n").alias("n"))
+        .first()["n"]
+    )
+    return max(1, widest // max(1, -(-(busiest or 0) // max_rows)))
+
+
 def _with_carry_rows(df: DataFrame, carry: DataFrame) -> DataFrame:
     marked = df.withColumn(_CARRIED, F.lit(False))
     return marked.unionByName(
@@ -94,3 +122,36 @@ def running_number(
         .where(~F.col(_CARRIED))
         .drop(_CARRIED, weight)
     )
+
+
+def ordered_lists(
+    df: DataFrame,
+    keys: Sequence[str],
+    position: Column,
+    widest: int,
+    order: Sequence[str],
+    values: Sequence[str],
+    out: str,
+    max_values: int = LIST_VALUES,
+) -> DataFrame:
+    """The rows of each key as lists of structs, ordered by ``order``, in parts.
+
+    No list is longer than ``max_values``; a key with more rows has several, numbered by
+    ``part``, whose concatenation is the whole.  The usual case, measured first, is one part
+    per key and one shuffle.  Otherwise rows are numbered along segments, so that neither a
+    task nor a cell grows with the size of a key.  ``position`` is the order's BIGINT axis
+    and ``widest`` the segment width to start from.
+    """
+    longest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).agg(F.max("__n")).first()[0]
+    if (longest or 0) <= max_values:
+        numbered = df.withColumn("part", F.lit(0).cast("bigint"))
+    else:
+        width = fitting_width(df, keys, position, widest, max_values)
+        numbered = running_number(
+            df.withColumn("__segment", segment_of(position, width)),
+            keys, "__segment", order, "__number",
+        ).withColumn("part", floor_div(F.col("__number") - 1, F.lit(max_values).cast("bigint")))
+    rest = [name for name in values if name not in order]
+    return numbered.groupBy(*keys, "part").agg(
+        F.sort_array(F.collect_list(F.struct(*order, *rest))).alias(out)
+    )

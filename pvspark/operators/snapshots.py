@@ -10,8 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pvspark.functions import windows
+from pvspark.operators.segments import LIST_VALUES, ordered_lists
 from pvspark.sizing import checked_broadcast
 
+DAY_MS = 86_400_000
 _BLOCK = 4096
 _KEY = ["snapshot_name", "iteration", "pv_name"]
 
@@ -91,7 +93,7 @@ def _values_and_spine(
     """
     params = ["time_window", "repeat_delay", "sub_push_delay_msec"]
     values = assign_iterations(events, members, origin_ms).select(
-        *_KEY, *params, "push_index", "ts", "seq", "value"
+        *_KEY, *params, "push_index", "ts", "ts_ms", "seq", "value"
     )
     if not complete:
         return values
@@ -131,6 +133,17 @@ def recurring_normal(
     return with_timestamps(result, origin_ms)
 
 
+def _silent(events: DataFrame, members: DataFrame, origin_ms: int) -> DataFrame:
+    """Spine entries without an event."""
+    return (
+        _values_and_spine(events, members, origin_ms, True)
+        .groupBy(*_group_key())
+        .agg(F.count("seq").alias("__n"))
+        .where(F.col("__n") == 0)
+        .drop("__n")
+    )
+
+
 def recurring_buffered(
     events: DataFrame, members: DataFrame, origin_ms: int, complete: bool = True
 ) -> DataFrame:
@@ -143,33 +156,38 @@ def recurring_buffered(
     columns = [*_group_key(), "push_index", "ts", "seq", "value"]
     rows = values.select(*columns)
     if complete:
-        silent = (
-            _values_and_spine(events, members, origin_ms, True)
-            .groupBy(*_group_key())
-            .agg(F.count("seq").alias("__n"))
-            .where(F.col("__n") == 0)
-            .drop("__n")
-        )
-        rows = rows.unionByName(silent, allowMissingColumns=True)
+        rows = rows.unionByName(_silent(events, members, origin_ms), allowMissingColumns=True)
     return with_timestamps(rows, origin_ms)
 
 
-def buffered_arrays(
-    events: DataFrame, members: DataFrame, origin_ms: int, complete: bool = True
+def _value_lists(rows: DataFrame, keys: list[str], max_values: int) -> DataFrame:
+    lists = ordered_lists(
+        rows, keys, F.col("ts_ms"), DAY_MS, ["ts", "seq"], ["value"], "__items", max_values
+    )
+    return lists.withColumn("values", F.transform("__items", lambda item: item["value"])).drop(
+        "__items"
+    )
+
+
+def buffered_lists(
+    events: DataFrame,
+    members: DataFrame,
+    origin_ms: int,
+    complete: bool = True,
+    max_values: int = LIST_VALUES,
 ) -> DataFrame:
-    """All values per PV per window as one ordered list, for consumers that want a cell.
+    """All values per PV per window as ordered lists; a list over ``max_values`` in parts.
 
-    A list is a single cell, so its window must be sized to fit one; ``recurring_buffered``
-    and ``sub_push_batches`` hold the same values without that condition.
+    With ``complete``, a listed PV without data has one empty list.
     """
-    item = F.when(F.col("seq").isNotNull(), F.struct("ts", "seq", "value"))
-    grouped = (
-        _values_and_spine(events, members, origin_ms, complete)
-        .groupBy(*_group_key())
-        .agg(F.sort_array(F.collect_list(item)).alias("__items"))
-    )
-    values = F.transform("__items", lambda entry: entry["value"])
-    return with_timestamps(grouped.withColumn("values", values).drop("__items"), origin_ms)
+    rows = _values_and_spine(events, members, origin_ms, False)
+    lists = _value_lists(rows, _group_key(), max_values)
+    if complete:
+        empty = _silent(events, members, origin_ms).withColumns(
+            {"part": F.lit(0).cast("bigint"), "values": F.array().cast("array<double>")}
+        )
+        lists = lists.unionByName(empty)
+    return with_timestamps(lists, origin_ms)
 
 
 def sub_push_summary(events: DataFrame, members: DataFrame, origin_ms: int) -> DataFrame:
@@ -187,27 +205,34 @@ def sub_push_summary(events: DataFrame, members: DataFrame, origin_ms: int) -> D
     return with_timestamps(grouped, origin_ms)
 
 
-def sub_push_batches(events: DataFrame, members: DataFrame, origin_ms: int) -> DataFrame:
-    """Partial pushes: the ordered values of each sub-interval of a window."""
-    grouped = (
-        _values_and_spine(events, members, origin_ms, False)
-        .groupBy(*_group_key(), "push_index")
-        .agg(F.sort_array(F.collect_list(F.struct("ts", "seq", "value"))).alias("__items"))
+def sub_push_batches(
+    events: DataFrame, members: DataFrame, origin_ms: int, max_values: int = LIST_VALUES
+) -> DataFrame:
+    """Partial pushes: the ordered values of each sub-interval, over ``max_values`` in parts."""
+    rows = _values_and_spine(events, members, origin_ms, False)
+    return with_timestamps(
+        _value_lists(rows, [*_group_key(), "push_index"], max_values), origin_ms
     )
-    values = F.transform("__items", lambda entry: entry["value"])
-    return with_timestamps(grouped.withColumn("values", values).drop("__items"), origin_ms)
 
 
 def merge_pushes(batches: DataFrame) -> DataFrame:
-    """The final result of a window: its partial pushes concatenated in push order."""
-    stamps = ["header_timestamp", "tail_timestamp", "timestamp"]
-    ordered = F.sort_array(F.collect_list(F.struct("push_index", "values")))
-    return (
-        batches.groupBy(*_KEY, *stamps)
-        .agg(ordered.alias("__pushes"))
-        .withColumn("values", F.flatten(F.transform("__pushes", lambda push: push["values"])))
-        .drop("__pushes")
+    """The final result of a window: its pushes concatenated in order, one row per value.
+
+    Positions come from the sizes of the earlier pushes (a few numbers per window), so the
+    lists are never brought together in one cell.
+    """
+    earlier = (
+        Window.partitionBy(*_KEY)
+        .orderBy("push_index", "part")
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
+    before = F.coalesce(F.sum(F.size("values")).over(earlier), F.lit(0))
+    stamps = ["header_timestamp", "tail_timestamp", "timestamp"]
+    # The window goes in a step of its own: next to a generator it would see exploded rows.
+    placed = batches.withColumn("__before", before)
+    return placed.select(
+        *_KEY, *stamps, "__before", F.posexplode("values").alias("__pos", "value")
+    ).select(*_KEY, *stamps, (F.col("__before") + F.col("__pos")).alias("pos"), "value")
 
 
 def complete_pv_counts(events: DataFrame, members: DataFrame, origin_ms: int) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from pvspark.functions.timing import epoch_ms
-from pvspark.operators.segments import running_last, segment_of
+from pvspark.operators.segments import fitting_width, running_last, segment_of
 from pvspark.sizing import checked_broadcast
 
 DAY_MS = 86_400_000
@@ -27,13 +27,15 @@ def new_subscriptions(requested: DataFrame, active: DataFrame) -> DataFrame:
 
 
 def _monitor_timeline(
-    events: DataFrame, commands: DataFrame, segment_ms: int
+    events: DataFrame, commands: DataFrame, segment_ms: int | None
 ) -> DataFrame:
     """Events and start/stop commands of each PV with the command in force before each row."""
     rows = events.withColumn("command", F.lit(None).cast("string")).unionByName(
         commands.select("pv_name", "ts", "seq", "command"), allowMissingColumns=True
     )
-    rows = rows.withColumn("__segment", segment_of(epoch_ms(F.col("ts")), segment_ms))
+    at = epoch_ms(F.col("ts"))
+    width = segment_ms or fitting_width(rows, ["pv_name"], at, DAY_MS)
+    rows = rows.withColumn("__segment", segment_of(at, width))
     return running_last(
         rows,
         keys=["pv_name"],
@@ -46,11 +48,12 @@ def _monitor_timeline(
 
 
 def deliver_while_active(
-    events: DataFrame, commands: DataFrame, segment_ms: int = DAY_MS
+    events: DataFrame, commands: DataFrame, segment_ms: int | None = None
 ) -> DataFrame:
     """Events that arrive, in (ts, seq) order, while their PV's monitor is started.
 
-    ``commands`` has pv_name, ts, seq and command (``start`` or ``stop``).
+    ``commands`` has pv_name, ts, seq and command (``start`` or ``stop``).  The width of a
+    time segment is measured unless ``segment_ms`` gives it.
     """
     timeline = _monitor_timeline(events, commands, segment_ms)
     return timeline.where(
@@ -58,7 +61,7 @@ def deliver_while_active(
     ).select(*events.columns)
 
 
-def command_outcomes(commands: DataFrame, segment_ms: int = DAY_MS) -> DataFrame:
+def command_outcomes(commands: DataFrame, segment_ms: int | None = None) -> DataFrame:
     """Each command with its effect: started, already_active, stopped or orphan_stop."""
     no_events = commands.select("pv_name", "ts", "seq").where(F.lit(False))
     timeline = _monitor_timeline(no_events, commands, segment_ms)

@@ -9,6 +9,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pvspark.operators.segments import LIST_VALUES, ordered_lists
+
 
 def _payload(items: str, columns: Sequence[str]) -> Column:
     # Bind the name early: the lambda runs when the column is built, once per label.
@@ -19,23 +21,25 @@ def _payload(items: str, columns: Sequence[str]) -> Column:
 
 
 def pack_tables(
-    rows: DataFrame, keys: Sequence[str], columns: Sequence[str], order: Sequence[str]
+    rows: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str],
+    order: Sequence[str],
+    position: Column,
+    widest: int,
+    max_rows: int = LIST_VALUES,
 ) -> DataFrame:
-    """Rows of each key as one table value, ordered by ``order``.
+    """Rows of each key as table values, ordered by ``order``.
 
-    A table value is a single cell.  Choose ``keys`` that bound it, such as the PV plus the
-    acquisition period, so that a hot PV is many tables and not one.
+    A table over ``max_rows`` comes in parts, numbered by ``part``, so that a hot key is many
+    cells.  ``position`` is the BIGINT axis of the order and ``widest`` a width along it.
     """
-    rest = [name for name in columns if name not in order]
-    item = F.struct(*order, *rest)
-    return (
-        rows.groupBy(*keys)
-        .agg(F.sort_array(F.collect_list(item)).alias("__rows"))
-        .select(
-            *keys,
-            F.array(*[F.lit(name) for name in columns]).alias("labels"),
-            _payload("__rows", columns).alias("payload"),
-        )
+    lists = ordered_lists(rows, keys, position, widest, order, columns, "__rows", max_rows)
+    return lists.select(
+        *keys,
+        "part",
+        F.array(*[F.lit(name) for name in columns]).alias("labels"),
+        _payload("__rows", columns).alias("payload"),
     )
 
 

@@ -5,20 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from pvspark.functions.timing import epoch_ms, epoch_us, floor_div
-from pvspark.operators.segments import running_last, running_number, segment_of
+from pvspark.operators.segments import fitting_width, running_last, running_number, segment_of
 from pvspark.operators.subscriptions import DAY_MS, monitor
+from pvspark.session import materialise
 from pvspark.sizing import checked_broadcast
 
 
-def number_triggers(triggers: DataFrame, segment_ms: int = DAY_MS) -> DataFrame:
+def _in_segments(df: DataFrame, keys: list[str], segment_ms: int | None) -> DataFrame:
+    """Add ``__segment`` along ``ts``; its width is measured unless given."""
+    at = epoch_ms(F.col("ts"))
+    width = segment_ms or fitting_width(df, keys, at, DAY_MS)
+    return df.withColumn("__segment", segment_of(at, width))
+
+
+def number_triggers(triggers: DataFrame, segment_ms: int | None = None) -> DataFrame:
     """Add ``iteration``: the rank of the trigger within its snapshot, from 1."""
-    placed = triggers.withColumn("__segment", segment_of(epoch_ms(F.col("ts")), segment_ms))
+    placed = _in_segments(triggers, ["snapshot_name"], segment_ms)
     return running_number(
         placed, ["snapshot_name"], "__segment", ["ts", "trigger_id"], "iteration"
     ).drop("__segment")
 
 
-def triggers_while_started(commands: DataFrame, segment_ms: int = DAY_MS) -> DataFrame:
+def triggers_while_started(commands: DataFrame, segment_ms: int | None = None) -> DataFrame:
     """Triggers of started snapshots, with the start they belong to.
 
     ``commands`` has snapshot_name, command (start, trigger, stop), trigger_id and ts.  A
@@ -27,9 +35,7 @@ def triggers_while_started(commands: DataFrame, segment_ms: int = DAY_MS) -> Dat
     turns = F.when(
         F.col("command").isin("start", "stop"), F.struct("command", F.col("ts").alias("since"))
     )
-    placed = commands.withColumn(
-        "__segment", segment_of(epoch_ms(F.col("ts")), segment_ms)
-    ).withColumn("__turn", turns)
+    placed = _in_segments(commands, ["snapshot_name"], segment_ms).withColumn("__turn", turns)
     followed = running_last(
         placed, ["snapshot_name"], "__segment", ["ts", "trigger_id"], "__turn", "__state"
     )
@@ -42,7 +48,7 @@ def triggers_while_started(commands: DataFrame, segment_ms: int = DAY_MS) -> Dat
 
 
 def triggered_life_cycle(
-    commands: DataFrame, members: DataFrame, events: DataFrame, segment_ms: int = DAY_MS
+    commands: DataFrame, members: DataFrame, events: DataFrame, segment_ms: int | None = None
 ) -> DataFrame:
     """Triggered snapshots between start and stop; values from before the start are gone.
 
@@ -60,7 +66,7 @@ def triggered_life_cycle(
 
 
 def triggered_normal(
-    triggers: DataFrame, members: DataFrame, events: DataFrame, segment_ms: int = DAY_MS
+    triggers: DataFrame, members: DataFrame, events: DataFrame, segment_ms: int | None = None
 ) -> DataFrame:
     """Per trigger and listed PV, the last value at or before the trigger (null if none).
 
@@ -72,10 +78,11 @@ def triggered_normal(
 
 
 def _last_values(
-    numbered: DataFrame, members: DataFrame, events: DataFrame, segment_ms: int
+    numbered: DataFrame, members: DataFrame, events: DataFrame, segment_ms: int | None
 ) -> DataFrame:
     listed = checked_broadcast(members.select("snapshot_name", "pv_name"))
-    asked = numbered.join(listed, "snapshot_name").withColumn("__asks", F.lit(1))
+    # The timeline below is read several times; triggers are few, so number them once.
+    asked = materialise(numbered).join(listed, "snapshot_name").withColumn("__asks", F.lit(1))
     seen = monitor(events, members).select(
         "pv_name",
         "ts",
@@ -83,8 +90,8 @@ def _last_values(
         F.lit(0).alias("__asks"),
         F.struct("value", "seq", F.col("ts").alias("at")).alias("__seen"),
     )
-    line = seen.unionByName(asked, allowMissingColumns=True).withColumn(
-        "__segment", segment_of(epoch_ms(F.col("ts")), segment_ms)
+    line = _in_segments(
+        seen.unionByName(asked, allowMissingColumns=True), ["pv_name"], segment_ms
     )
     filled = running_last(
         line, ["pv_name"], "__segment", ["ts", "__asks", "seq"], "__seen", "__last"
@@ -100,7 +107,7 @@ def _last_values(
 
 
 def triggered_buffered(
-    triggers: DataFrame, members: DataFrame, events: DataFrame, segment_ms: int = DAY_MS
+    triggers: DataFrame, members: DataFrame, events: DataFrame, segment_ms: int | None = None
 ) -> DataFrame:
     """Per trigger and listed PV, all values in ``(trigger - time_window, trigger]``.
 

@@ -403,16 +403,15 @@ def write_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_event_time(_writes(_table_stream(spark, sf_dir, "orders")))
 
 
-TABLE_KEYS = ["l_orderkey", "ship_month"]
+TABLE_KEYS = ["l_orderkey"]
 TABLE_COLUMNS = ["linenumber", "quantity", "price", "discount", "flag"]
 TABLE_ORDER = ["l_shipdate", "linenumber", "l_partkey", "l_suppkey", "quantity", "price", "discount", "flag"]
 
 
 def table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as table rows: one table per order and month of shipment."""
+    """Line items as table rows: one table per order."""
     return table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
-        (F.year("l_shipdate") * 100 + F.month("l_shipdate")).cast("bigint").alias("ship_month"),
         "l_shipdate",
         F.col("l_linenumber").cast("bigint").alias("linenumber"),
         "l_partkey",

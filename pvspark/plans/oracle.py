@@ -186,10 +186,9 @@ FROM (SELECT *, rank() OVER (PARTITION BY o_custkey, o_orderpriority ORDER BY o_
 WHERE r = 1 GROUP BY ALL"""
 
 TABLES = """li AS (
-  SELECT l_orderkey, CAST(year(l_shipdate) * 100 + month(l_shipdate) AS BIGINT) AS ship_month,
-         CAST(l_linenumber AS BIGINT) AS linenumber, l_quantity AS quantity, l_extendedprice AS price,
+  SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS linenumber, l_quantity AS quantity, l_extendedprice AS price,
          l_discount AS discount, l_returnflag AS flag,
-         row_number() OVER (PARTITION BY l_orderkey, year(l_shipdate), month(l_shipdate)
+         row_number() OVER (PARTITION BY l_orderkey
            ORDER BY l_shipdate, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_returnflag) - 1 AS row_index
   FROM lineitem)"""
 
@@ -331,11 +330,11 @@ LEFT JOIN kept ON kept.topic = bucket.topic AND kept.iteration = b + 1 AND kept.
 WHERE first_type <> 'purchase' GROUP BY ALL""",
     "put_state": STATE,
     "put_state_wide": f"SELECT pv_name, max(value) FILTER (WHERE field = '1-URGENT') AS urgent, max(value) FILTER (WHERE field = '5-LOW') AS low FROM ({STATE}) WHERE field IN ('1-URGENT', '5-LOW') GROUP BY pv_name",
-    "table_pack": f"""WITH {TABLES} SELECT l_orderkey, ship_month, 'linenumber,quantity,price,discount,flag' AS labels, count(*) AS n_rows,
+    "table_pack": f"""WITH {TABLES} SELECT l_orderkey, 'linenumber,quantity,price,discount,flag' AS labels, count(*) AS n_rows,
   arg_min(price, row_index) AS first_price, arg_max(price, row_index) AS last_price FROM li GROUP BY ALL""",
-    "table_unpack": f"WITH {TABLES} SELECT l_orderkey, ship_month, 'ok' AS status, row_index, linenumber, quantity, price, discount, flag FROM li",
-    "table_set_column": f"""WITH {TABLES}, t AS (SELECT l_orderkey, ship_month, sum(quantity) AS q, sum(discount) AS d FROM li GROUP BY ALL)
-SELECT l_orderkey, ship_month,
+    "table_unpack": f"WITH {TABLES} SELECT l_orderkey, 'ok' AS status, row_index, linenumber, quantity, price, discount, flag FROM li",
+    "table_set_column": f"""WITH {TABLES}, t AS (SELECT l_orderkey, sum(quantity) AS q, sum(discount) AS d FROM li GROUP BY ALL)
+SELECT l_orderkey,
   CASE WHEN o_orderkey IS NULL OR o_orderstatus = 'F' THEN 'unchanged' WHEN o_orderpriority = '1-URGENT' THEN 'undefined_label' ELSE 'replaced' END AS status,
   round(CASE WHEN o_orderkey IS NULL OR o_orderstatus = 'F' OR o_orderpriority = '1-URGENT' THEN q ELSE d END, 2) AS sum_quantity
 FROM t LEFT JOIN orders ON o_orderkey = l_orderkey""",

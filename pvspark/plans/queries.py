@@ -341,7 +341,7 @@ def _positions(lists: DataFrame, *columns: str) -> DataFrame:
 
 @query
 def recurring_buffered_lists(spark, d):
-    lists = snapshots.buffered_arrays(b.pv_events(spark, d), b.members(spark, d), b.ORIGIN_MS)
+    lists = snapshots.buffered_lists(b.pv_events(spark, d), b.members(spark, d), b.ORIGIN_MS)
     return _positions(lists, "snapshot_name", "iteration", "pv_name")
 
 
@@ -359,7 +359,7 @@ def sub_push_merged(spark, d):
     batches = snapshots.sub_push_batches(
         b.pv_events(spark, d), b.members(spark, d, sub_push=b.PUSH_MS), b.ORIGIN_MS
     )
-    return _positions(snapshots.merge_pushes(batches), "snapshot_name", "iteration", "pv_name")
+    return snapshots.merge_pushes(batches).select("snapshot_name", "iteration", "pv_name", "pos", "value")
 
 
 @query
@@ -375,28 +375,27 @@ def snapshot_counters(spark, d):
 
 
 _REASSEMBLED = ["topic", "iteration", "header_timestamp", "tail_timestamp", "offset", "pv_name", "value"]
-_DAY_OFFSETS = 4 * 86_400_000_000
 
 
 @query
 def reassembly_robust(spark, d):
     return reassembly.reassemble(
-        b.snapshot_records(spark, d), "robust", _DAY_OFFSETS
+        b.snapshot_records(spark, d), "robust"
     ).select(*_REASSEMBLED)
 
 
 @query
 def reassembly_exact(spark, d):
     return reassembly.reassemble(
-        b.snapshot_records(spark, d), "exact", _DAY_OFFSETS
+        b.snapshot_records(spark, d), "exact"
     ).select(*_REASSEMBLED)
 
 
 @query
 def reassembly_completed(spark, d):
     records = b.snapshot_records(spark, d)
-    epochs = reassembly.robust_epochs(records, _DAY_OFFSETS)
-    values = reassembly.place_data(records, epochs, _DAY_OFFSETS)
+    epochs = reassembly.robust_epochs(records)
+    values = reassembly.place_data(records, epochs)
     listed = b.members(spark, d).select(F.col("snapshot_name").alias("topic"), "pv_name")
     return reassembly.completed_iterations(epochs, values, listed).select(
         "topic", "iteration", "pv_name", "n_values"
@@ -416,7 +415,10 @@ def put_state_wide(spark, d):
 
 
 def _packed(spark, d):
-    return tables.pack_tables(b.table_rows(spark, d), b.TABLE_KEYS, b.TABLE_COLUMNS, b.TABLE_ORDER)
+    return tables.pack_tables(
+        b.table_rows(spark, d), b.TABLE_KEYS, b.TABLE_COLUMNS, b.TABLE_ORDER,
+        position=epoch_ms(F.col("l_shipdate")), widest=subs.DAY_MS,
+    )
 
 
 @query
@@ -440,20 +442,21 @@ def table_unpack(spark, d):
 def table_set_column(spark, d):
     """Quantities become the discounts of the same table; urgent orders name no known label."""
     packed = _packed(spark, d)
+    keys = [*b.TABLE_KEYS, "part"]
     orders = b.table(spark, d, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_orderpriority", "o_orderstatus"
     )
     replacements = (
-        packed.select(*b.TABLE_KEYS, F.col("payload.discount").alias("data"))
+        packed.select(*keys, F.col("payload.discount").alias("data"))
         .join(orders.where(F.col("o_orderstatus") != "F"), "l_orderkey")
         .select(
-            *b.TABLE_KEYS,
+            *keys,
             F.lit(1).alias("seq"),
             F.when(F.col("o_orderpriority") == "1-URGENT", "weight").otherwise("quantity").alias("label"),
             F.transform("data", lambda item: item.cast("string")).alias("data"),
         )
     )
-    replaced = tables.set_columns(packed, replacements, b.TABLE_KEYS, b.TABLE_COLUMNS)
+    replaced = tables.set_columns(packed, replacements, keys, b.TABLE_COLUMNS)
     total = F.aggregate("payload.quantity", F.lit(0.0), lambda acc, item: acc + item)
     return replaced.select(*b.TABLE_KEYS, "status", F.round(total, 2).alias("sum_quantity"))
 
