@@ -35,11 +35,14 @@ def _control(records: DataFrame) -> DataFrame:
     )
 
 
+def _width(records: DataFrame) -> int:
+    return fitting_width(records, ["topic"], F.col("offset"), SEGMENT_OFFSETS)
+
+
 def _in_segments(df: DataFrame, segment_offsets: int | None) -> DataFrame:
     """Add ``__segment`` along the offset; its width is measured unless given."""
-    at = F.col("offset")
-    width = segment_offsets or fitting_width(df, ["topic"], at, SEGMENT_OFFSETS)
-    return df.withColumn("__segment", segment_of(at, width))
+    width = segment_offsets or _width(df)
+    return df.withColumn("__segment", segment_of(F.col("offset"), width))
 
 
 def robust_epochs(records: DataFrame, segment_offsets: int | None = None) -> DataFrame:
@@ -157,10 +160,9 @@ def reassemble(
     """Values of every completed iteration, one row per value, ordered by offset."""
     if mode not in ("robust", "exact"):
         raise ValueError("mode must be 'robust' or 'exact'")
-    epochs = (
-        robust_epochs(records, segment_offsets) if mode == "robust" else exact_epochs(records)
-    )
-    return place_data(records, materialise(epochs), segment_offsets)
+    width = segment_offsets or _width(records)
+    epochs = robust_epochs(records, width) if mode == "robust" else exact_epochs(records)
+    return place_data(records, materialise(epochs), width)
 
 
 def completed_iterations(epochs: DataFrame, values: DataFrame, pv_list: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pvspark.sizing import checked_broadcast
@@ -17,31 +19,53 @@ ROUTES = ("reply", "monitor", "snapshot", "recurring")
 _NULL_KEY_SPREAD = 1024
 
 
-def decode(messages: DataFrame) -> DataFrame:
-    """Add ``msg_id``, ``message_size`` and ``reject`` (why a message has no id, else null).
+def _from_body(messages: DataFrame, fields: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """Add columns computed from the body, a map from key to text in message order.
 
-    The id is the reply id if that key is present, else the snapshot name, else the first
-    key in message order.
+    Going through a one-element array makes the parsed map a bound value of a generator: the
+    body is parsed once, however many columns and later filters use it.
     """
-    body = F.col("value")
-    keys = F.json_object_keys(body)
-    msg_id = (
-        F.when(F.array_contains(keys, REPLY_ID), F.get_json_object(body, f"$.{REPLY_ID}"))
-        .when(F.array_contains(keys, SNAPSHOT_NAME), F.get_json_object(body, f"$.{SNAPSHOT_NAME}"))
-        .otherwise(F.get(keys, F.lit(0)))
+    parsed = F.array(F.from_json("value", "map<string,string>"))
+    rows = F.transform(
+        parsed, lambda body: F.struct(*[make(body).alias(name) for name, make in fields.items()])
     )
+    return messages.select("*", F.inline(rows))
+
+
+def _message_id(body: Column) -> Column:
+    """The reply id if that key is present, else the snapshot name, else the first key."""
+    return (
+        F.when(F.map_contains_key(body, REPLY_ID), F.try_element_at(body, F.lit(REPLY_ID)))
+        .when(F.map_contains_key(body, SNAPSHOT_NAME), F.try_element_at(body, F.lit(SNAPSHOT_NAME)))
+        .otherwise(F.get(F.map_keys(body), F.lit(0)))
+    )
+
+
+def decode(messages: DataFrame) -> DataFrame:
+    """Add ``msg_id``, ``message_size`` and ``reject`` (why a message has no id, else null)."""
     reject = (
         F.when(F.col("ser_type").isNull(), "no_header")
         .when(F.lower("ser_type") != LOG_CODEC, "bad_ser_type")
-        .when(keys.isNull(), "not_a_map")
-        .when(msg_id.isNull(), "no_id")
+        .when(~F.col("__is_map"), "not_a_map")
+        .when(F.col("__id").isNull(), "no_id")
     )
-    return messages.withColumns(
-        {
-            "reject": reject,
-            "msg_id": F.when(reject.isNull(), msg_id),
-            "message_size": F.octet_length(body).cast("bigint"),
-        }
+    return (
+        _from_body(
+            messages,
+            {
+                "__is_map": lambda body: body.isNotNull(),
+                "__id": _message_id,
+                "is_typed": lambda body: F.map_contains_key(body, MESSAGE_TYPE),
+            },
+        )
+        .withColumn("reject", reject)
+        .withColumns(
+            {
+                "msg_id": F.when(F.col("reject").isNull(), F.col("__id")),
+                "message_size": F.octet_length("value").cast("bigint"),
+            }
+        )
+        .drop("__is_map", "__id")
     )
 
 
@@ -88,13 +112,12 @@ def route(
     topics = checked_broadcast(
         recurring.select("topic").distinct().withColumn("is_recurring", F.lit(True))
     )
-    typed = F.array_contains(F.json_object_keys("value"), MESSAGE_TYPE)
     chosen = (
         F.when(F.col("reject").isNotNull(), F.col("reject"))
         .when(F.col("is_reply"), "reply")
         .when(F.col("is_monitor"), "monitor")
         .when(F.col("is_snapshot"), "snapshot")
-        .when(F.col("is_recurring") & typed, "recurring")
+        .when(F.col("is_recurring") & F.col("is_typed"), "recurring")
         .otherwise("dropped")
     )
     return (
@@ -115,7 +138,7 @@ def monitor_values(routed: DataFrame) -> DataFrame:
         "partition",
         "offset",
         "ts",
-        body[F.col("msg_id")].alias("value"),
+        F.try_element_at(body, F.col("msg_id")).alias("value"),
     )
 
 
@@ -126,24 +149,23 @@ def assemble_snapshots(messages: DataFrame) -> DataFrame:
     with a non-zero error completes a snapshot; later ones are ignored, unfinished snapshots
     are not emitted, and a body must hold exactly one key besides error and reply id.
     """
-    body = F.from_json("value", "map<string,string>")
-    has_error = F.map_contains_key("__body", "error")
-    is_zero = F.coalesce(F.try_to_number(F.col("__body")["error"], F.lit("S999999999")) == 0, F.lit(False))
-    parsed = messages.select("msg_id", "offset", body.alias("__body")).select(
-        "msg_id",
-        "offset",
-        (has_error & ~is_zero).alias("completes"),
-        F.map_entries(
-            F.map_filter("__body", lambda key, _: ~key.isin("error", REPLY_ID))
-        ).alias("__entries"),
-    )
-    ends = (
-        parsed.where("completes").groupBy("msg_id").agg(F.min("offset").alias("completed_at"))
+
+    def completes(body: Column) -> Column:
+        is_zero = F.try_element_at(body, F.lit("error")).try_cast("double") == 0
+        return F.map_contains_key(body, "error") & ~F.coalesce(is_zero, F.lit(False))
+
+    def entries(body: Column) -> Column:
+        return F.map_entries(F.map_filter(body, lambda key, _: ~key.isin("error", REPLY_ID)))
+
+    parsed = _from_body(
+        messages.select("msg_id", "offset", "value"),
+        {"completes": completes, "entries": entries},
     )
-    values = parsed.where(~F.col("completes") & (F.size("__entries") == 1)).select(
+    ends = parsed.where("completes").groupBy("msg_id").agg(F.min("offset").alias("completed_at"))
+    values = parsed.where(~F.col("completes") & (F.size("entries") == 1)).select(
         "msg_id",
         "offset",
-        F.col("__entries")[0]["key"].alias("pv_name"),
-        F.col("__entries")[0]["value"].alias("value"),
+        F.col("entries")[0]["key"].alias("pv_name"),
+        F.col("entries")[0]["value"].alias("value"),
     )
     return values.join(ends, "msg_id").where(F.col("offset") < F.col("completed_at"))

@@ -23,7 +23,7 @@ from pvspark.operators import (
     triggered,
 )
 from pvspark.plans import bindings as b
-from pvspark.session import scratch_path, tune
+from pvspark.session import materialise, scratch_path, tune
 from pvspark.sources import commands as cmd, event_log
 from pvspark.streaming import delivery, keyed, stateful, windows as stream_windows
 
@@ -394,7 +394,7 @@ def reassembly_exact(spark, d):
 @query
 def reassembly_completed(spark, d):
     records = b.snapshot_records(spark, d)
-    epochs = reassembly.robust_epochs(records)
+    epochs = materialise(reassembly.robust_epochs(records))
     values = reassembly.place_data(records, epochs)
     listed = b.members(spark, d).select(F.col("snapshot_name").alias("topic"), "pv_name")
     return reassembly.completed_iterations(epochs, values, listed).select(
