@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pvspark.functions import windows
+from pvspark.operators.snapshots import assign_iterations, with_timestamps
 from pvspark.operators.specs import NORMAL, TIMED_BUFFERED
 from pvspark.sizing import checked_broadcast
 
@@ -122,3 +123,14 @@ def sub_push_stream(
             F.transform("__items", lambda item: item["value"]).alias("values"),
         )
     )
+
+
+def buffered_stream(events: DataFrame, members: DataFrame, origin_ms: int) -> DataFrame:
+    """All values per listed PV per window, one row per value, as they arrive.
+
+    Stateless: a window is placed by arithmetic alone, so nothing is held back and no PV is
+    too hot.  Partition the sink by iteration, or wait for the watermark downstream, where
+    a closed window is wanted.
+    """
+    placed = assign_iterations(events, members, origin_ms)
+    return with_timestamps(placed, origin_ms).drop("in_gap")
