@@ -142,12 +142,36 @@ def monitor_values(routed: DataFrame) -> DataFrame:
     )
 
 
-def assemble_snapshots(messages: DataFrame) -> DataFrame:
-    """One-shot snapshots: the values of each completed snapshot, one row per value.
+def acknowledged_topics(routed: DataFrame) -> DataFrame:
+    """Topics that accepted recurring snapshots publish on, from their replies."""
+    topic = F.get_json_object("value", "$.publishing_topic")
+    return (
+        routed.where(F.col("route") == "reply")
+        .select(F.col("msg_id").alias("reply_id"), topic.alias("topic"))
+        .where(F.col("topic").isNotNull())
+    )
 
-    ``messages`` are those routed to snapshots: msg_id, offset, value.  The first message
-    with a non-zero error completes a snapshot; later ones are ignored, unfinished snapshots
-    are not emitted, and a body must hold exactly one key besides error and reply id.
+
+def get_results(routed: DataFrame, requests: DataFrame) -> DataFrame:
+    """What each answered get returns: the PV's member of the reply, or the whole reply.
+
+    ``requests`` has reply_id and pv_name.  A reply with an error returns nothing.
+    """
+    replies = routed.where(F.col("route") == "reply").select(
+        F.col("msg_id").alias("reply_id"), "offset", "value"
+    )
+    body = F.from_json("value", "map<string,string>")
+    failed = F.coalesce(F.get_json_object("value", "$.error").try_cast("bigint"), F.lit(0)) != 0
+    member = F.coalesce(F.try_element_at(body, F.col("pv_name")), F.col("value"))
+    return replies.join(requests.select("reply_id", "pv_name"), "reply_id").select(
+        "reply_id", "pv_name", "offset", F.when(~failed, member).alias("result")
+    )
+
+
+def parse_one_shot(messages: DataFrame) -> DataFrame:
+    """``completes`` (a non-zero error) and the single PV and value of each snapshot message.
+
+    A body must hold exactly one key besides error and reply id, else ``pv_name`` is null.
     """
 
     def completes(body: Column) -> Column:
@@ -161,11 +185,28 @@ def assemble_snapshots(messages: DataFrame) -> DataFrame:
         messages.select("msg_id", "offset", "value"),
         {"completes": completes, "entries": entries},
     )
-    ends = parsed.where("completes").groupBy("msg_id").agg(F.min("offset").alias("completed_at"))
-    values = parsed.where(~F.col("completes") & (F.size("entries") == 1)).select(
+    single = F.when(F.size("entries") == 1, F.col("entries")[0])
+    return parsed.select(
         "msg_id",
         "offset",
-        F.col("entries")[0]["key"].alias("pv_name"),
-        F.col("entries")[0]["value"].alias("value"),
+        F.coalesce("completes", F.lit(False)).alias("completes"),
+        single["key"].alias("pv_name"),
+        single["value"].alias("value"),
+    )
+
+
+def assemble_snapshots(messages: DataFrame) -> DataFrame:
+    """One-shot snapshots: the values of each completed snapshot, one row per value.
+
+    ``messages`` are those routed to snapshots: msg_id, offset, value.  The first message
+    with a non-zero error completes a snapshot; later ones are ignored and unfinished
+    snapshots are not emitted.
+    """
+    parsed = parse_one_shot(messages)
+    ends = parsed.where("completes").groupBy("msg_id").agg(F.min("offset").alias("completed_at"))
+    values = parsed.where(~F.col("completes") & F.col("pv_name").isNotNull())
+    return (
+        values.drop("completes")
+        .join(ends, "msg_id")
+        .where(F.col("offset") < F.col("completed_at"))
     )
-    return values.join(ends, "msg_id").where(F.col("offset") < F.col("completed_at"))

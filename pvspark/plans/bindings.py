@@ -136,10 +136,17 @@ def part_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def commands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _commands(pv_events(spark, sf_dir))
+
+
+def command_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _commands(pv_event_stream(spark, sf_dir))
+
+
+def _commands(events: DataFrame) -> DataFrame:
     """Monitor commands: a signup starts, an error stops."""
     return (
-        pv_events(spark, sf_dir)
-        .where(F.col("event_type").isin("signup", "error"))
+        events.where(F.col("event_type").isin("signup", "error"))
         .select(
             "pv_name",
             "ts",
@@ -153,6 +160,10 @@ def value_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pv_events(spark, sf_dir).where(~F.col("event_type").isin("signup", "error"))
 
 
+def value_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pv_event_stream(spark, sf_dir).where(~F.col("event_type").isin("signup", "error"))
+
+
 def _requests(raw: DataFrame) -> DataFrame:
     low = F.col("o_orderpriority") == "5-LOW"
     return raw.select(
@@ -240,8 +251,16 @@ def _life_cycle(events: DataFrame, listed: DataFrame) -> DataFrame:
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _messages(table(spark, sf_dir, "events"))
+
+
+def message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_event_time(_messages(_table_stream(spark, sf_dir, "events")))
+
+
+def _messages(raw: DataFrame) -> DataFrame:
     """A message log with one topic per event type; the body is the properties text."""
-    return table(spark, sf_dir, "events").select(
+    return raw.select(
         F.col("event_type").alias("topic"),
         (F.col("user_id") % 4).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
@@ -253,6 +272,22 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _envelopes(table(spark, sf_dir, "events"))
+
+
+def envelope_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _envelopes(_table_stream(spark, sf_dir, "events"))
+
+
+def get_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gets that wait for the replies in the envelope log: one per part, of a PV by its size."""
+    return table(spark, sf_dir, "part").select(
+        F.concat(F.lit("req-"), F.col("p_partkey").cast("string")).alias("reply_id"),
+        F.concat(F.lit("user:"), (F.col("p_size") - 1).cast("string")).alias("pv_name"),
+    )
+
+
+def _envelopes(raw: DataFrame) -> DataFrame:
     """A log of all envelope kinds, chosen by event type, with faulty ones among the errors."""
     body = F.expr(
         """CASE event_type
@@ -268,7 +303,7 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN event_type <> 'error' THEN 'JSON' WHEN value < 40 THEN 'json' "
         "WHEN value < 60 THEN 'msgpack-compact' END"
     )
-    return table(spark, sf_dir, "events").select(
+    return raw.select(
         F.expr("concat('snap_', cast(user_id div 10 as string))").alias("topic"),
         F.lit(0).alias("partition"),
         F.col("event_id").alias("offset"),

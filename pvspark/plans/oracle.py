@@ -241,6 +241,8 @@ COMMANDS = f"WITH {MB} " + " UNION ALL ".join(
     ]
 )
 
+TRAFFIC = "SELECT 'user:' || user_id AS pv_name, epoch_ms(date_trunc('day', ts)) AS bucket_start_ms, count(*) AS n_messages, CAST(sum(strlen(props)) AS BIGINT) AS n_bytes, max(strlen(props)) AS max_bytes FROM events GROUP BY 1, 2"
+
 ORACLE: dict[str, str] = {
     "event_log_scan": "SELECT event_id AS seq, 'user:' || user_id AS pv_name, CASE WHEN user_id % 2 = 0 THEN 'pva' ELSE 'ca' END AS protocol, (epoch_us(ts) // 1000) AS ts_ms, value, props AS fields FROM events",
     "replay_start_offsets": f"SELECT event_type AS topic, user_id % 4 AS partition, min(event_id) AS start_offset FROM events WHERE ts >= {INSTANT} GROUP BY ALL",
@@ -338,7 +340,7 @@ SELECT l_orderkey,
   CASE WHEN o_orderkey IS NULL OR o_orderstatus = 'F' THEN 'unchanged' WHEN o_orderpriority = '1-URGENT' THEN 'undefined_label' ELSE 'replaced' END AS status,
   round(CASE WHEN o_orderkey IS NULL OR o_orderstatus = 'F' OR o_orderpriority = '1-URGENT' THEN q ELSE d END, 2) AS sum_quantity
 FROM t LEFT JOIN orders ON o_orderkey = l_orderkey""",
-    "traffic_by_pv_day": "SELECT 'user:' || user_id AS pv_name, epoch_ms(date_trunc('day', ts)) AS bucket_start_ms, count(*) AS n_messages, CAST(sum(strlen(props)) AS BIGINT) AS n_bytes, max(strlen(props)) AS max_bytes FROM events GROUP BY 1, 2",
+    "traffic_by_pv_day": TRAFFIC,
     "traffic_by_topic": f"WITH {ROUTED} SELECT topic, epoch_ms(date_trunc('hour', ts)) AS bucket_start_ms, count(*) AS n_messages, CAST(sum(message_size) AS BIGINT) AS n_bytes, max(message_size) AS max_bytes FROM routed JOIN events ON event_id = \"offset\" GROUP BY 1, 2",
     "live_source_stream": "SELECT event_id AS seq, 'user:' || user_id AS pv_name, (epoch_us(ts) // 1000) AS ts_ms, value FROM events",
     "monitor_stream": MONITORED,
@@ -364,4 +366,14 @@ FROM timed""",
     "latest_stream": LATEST + " FROM events GROUP BY user_id",
     "put_state_stream": STATE,
     "snapshot_life_cycle_stream": LIFE_ROWS,
+    "recurring_rows_stream": f"WITH {WIN} SELECT {_KEYS}, seq, value FROM win",
+    "traffic_stream": f"SELECT * FROM ({TRAFFIC}) WHERE bucket_start_ms + 86400000 <= (SELECT max(epoch_us(ts) // 1000) - {LATE} FROM events)",
+    "get_results": f"""WITH {ROUTED}, req AS (SELECT 'req-' || p_partkey AS reply_id, 'user:' || (p_size - 1) AS pv_name FROM part)
+SELECT reply_id, pv_name, "offset", CASE WHEN pv_name = 'user:' || user_id THEN value END AS value,
+  CASE WHEN pv_name <> 'user:' || user_id THEN reply_id END AS whole_reply_id
+FROM routed JOIN req ON msg_id = reply_id WHERE route = 'reply'""",
 }
+
+ORACLE["deliver_while_active_stream"] = ORACLE["deliver_while_active"]
+ORACLE["one_shot_snapshot_stream"] = ORACLE["one_shot_snapshot"]
+ORACLE["envelope_demux_stream"] = ORACLE["envelope_demux"]

@@ -187,9 +187,9 @@ def envelope_demux(spark, d):
     return _routed(spark, d).select("offset", "msg_id", "route", "message_size")
 
 
-def _routed(spark, d):
+def _routed(spark, d, log=None):
     return routing.route(
-        b.envelopes(spark, d),
+        b.envelopes(spark, d) if log is None else log,
         b.pending_replies(spark, d),
         b.subscriptions(spark, d),
         b.open_snapshots(spark, d),
@@ -204,6 +204,16 @@ def demuxed_monitor_values(spark, d):
     )
 
 
+@query
+def get_results(spark, d):
+    rows = routing.get_results(_routed(spark, d), b.get_requests(spark, d))
+    value = F.get_json_object("result", "$.value").try_cast("double")
+    return rows.select(
+        "reply_id", "pv_name", "offset", value.alias("value"),
+        F.get_json_object("result", "$.reply_id").alias("whole_reply_id"),
+    )
+
+
 # --- joins ------------------------------------------------------------------------------
 
 
@@ -590,3 +600,46 @@ def snapshot_life_cycle_stream(spark, d):
         needs_start=True,
     )
     return delivery.run_append(spark, stream, "life-cycle").withColumnRenamed("seq", "value_seq")
+
+
+@query
+def recurring_rows_stream(spark, d):
+    stream = stream_windows.buffered_stream(
+        b.pv_event_stream(spark, d), b.members(spark, d), b.ORIGIN_MS
+    )
+    return delivery.run_append(spark, stream.select(*_WINDOW, "seq", "value"), "rows")
+
+
+@query
+def deliver_while_active_stream(spark, d):
+    stream = stateful.delivery_stream(b.value_event_stream(spark, d), b.command_stream(spark, d))
+    return delivery.run_append(spark, stream, "active").select(
+        "seq", "pv_name", F.unix_millis("ts").alias("ts_ms"), "value"
+    )
+
+
+@query
+def one_shot_snapshot_stream(spark, d):
+    path = scratch_path(spark, "messages")
+    b.one_shot_messages(spark, d).write.parquet(path)
+    log = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    rows = delivery.run_append(spark, stateful.assembly_stream(log), "assembled")
+    return rows.where(F.col("pv_name").isNotNull()).select(
+        "msg_id", "offset", "pv_name", F.col("value").cast("double").alias("value")
+    )
+
+
+@query
+def envelope_demux_stream(spark, d):
+    stream = _routed(spark, d, b.envelope_stream(spark, d))
+    return delivery.run_append(
+        spark, stream.select("offset", "msg_id", "route", "message_size"), "routed"
+    )
+
+
+@query
+def traffic_stream(spark, d):
+    stream = stream_windows.traffic_stream(
+        b.message_stream(spark, d), subs.DAY_MS, keys=("pv_name",), lateness_ms=b.LATENESS_MS
+    )
+    return delivery.run_append(spark, stream, "traffic")

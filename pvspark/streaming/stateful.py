@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from typing import Any
 
@@ -9,7 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from pvspark.operators.reassembly import DATA, HEADER
+from pvspark.operators.reassembly import DATA, HEADER, TAIL
+from pvspark.operators.routing import parse_one_shot
 from pvspark.operators.specs import NORMAL, TIMED_BUFFERED
 from pvspark.sizing import checked_broadcast
 
@@ -23,8 +25,20 @@ def _columns(schema: str) -> list[str]:
     return [field.split()[0] for field in schema.split(", ")]
 
 
+def _gather(rows: Iterator[pd.DataFrame], *order: str) -> pd.DataFrame:
+    """The rows of one key in this micro-batch, in order.
+
+    A micro-batch is bounded by the source (files or offsets per trigger), and so is this.
+    """
+    return pd.concat(list(rows)).sort_values(list(order), ignore_index=True)
+
+
 class ReassemblyProcessor(StatefulProcessor):
-    """One open iteration per topic: its header, and its values so far in a list state."""
+    """One open iteration per topic: its header, and its values so far in a list state.
+
+    Only headers and tails are looked at one by one; the data between them is taken as a
+    block.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.header = handle.getValueState(
@@ -35,31 +49,37 @@ class ReassemblyProcessor(StatefulProcessor):
     def handleInputRows(
         self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
     ) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values("offset")
-        opened = self.header.get() if self.header.exists() else None
-        fresh: list[tuple] = []
+        batch = _gather(rows, "offset")
+        data = batch[(batch["message_type"] == DATA) & batch["pv_name"].notna()]
+        control = batch[batch["message_type"].isin([HEADER, TAIL])]
+
+        def values_between(low: int, high: float, iteration: int) -> list[tuple]:
+            inside = data[
+                (data["offset"] > low) & (data["offset"] < high) & (data["iter_index"] == iteration)
+            ]
+            return list(inside[["offset", "pv_name", "value"]].itertuples(index=False, name=None))
+
+        opened = tuple(self.header.get()) if self.header.exists() else None
+        since = -1
         out: list[tuple] = []
-        for row in batch.itertuples(index=False):
+        for row in control.itertuples(index=False):
             if row.message_type == HEADER:
                 if opened is None:
-                    opened = (row.offset, row.iter_index, row.timestamp_ms)
-            elif opened is None or row.iter_index != opened[1]:
-                continue
-            elif row.message_type == DATA:
-                if row.pv_name is not None:
-                    fresh.append((row.offset, row.pv_name, row.value))
-            else:
-                stored = list(self.values.get()) if self.values.exists() else []
-                whole = [*stored, *fresh, (row.offset, None, None)]
+                    opened = (int(row.offset), int(row.iter_index), int(row.timestamp_ms))
+                    since = row.offset
+            elif opened is not None and row.iter_index == opened[1]:
+                stored = [tuple(item) for item in self.values.get()] if self.values.exists() else []
+                whole = [*stored, *values_between(since, row.offset, opened[1]), (row.offset, None, None)]
                 out.extend((key[0], *opened, row.timestamp_ms, *item) for item in whole)
                 self.values.clear()
-                opened, fresh = None, []
+                opened = None
         if opened is None:
             self.header.clear()
         else:
-            self.header.update(tuple(opened))
-        if fresh:
-            self.values.appendList(fresh)
+            self.header.update(opened)
+            fresh = values_between(since, math.inf, opened[1])
+            if fresh:
+                self.values.appendList(fresh)
         yield pd.DataFrame(out, columns=_columns(REASSEMBLED))
 
     def close(self) -> None:
@@ -99,7 +119,8 @@ class SnapshotProcessor(StatefulProcessor):
     """Last value (or the values of the window) of one PV of one snapshot.
 
     With ``needs_start`` a snapshot only lives between its start and stop commands, and
-    each start begins again with iteration 1 and no values.
+    each start begins again with iteration 1 and no values.  Commands are looked at one by
+    one; values are found by binary search.
     """
 
     def __init__(self, kind: str, needs_start: bool) -> None:
@@ -113,41 +134,49 @@ class SnapshotProcessor(StatefulProcessor):
     def handleInputRows(
         self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
     ) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values(["at", "rank", "seq"])
+        batch = _gather(rows, "at", "rank", "seq")
         if self.progress.exists():
             active, iteration = self.progress.get()
         else:
             active, iteration = not self.needs_start, 0
-        held = list(self.values.get()) if self.values.exists() else []
+        held = [tuple(item) for item in self.values.get()] if self.values.exists() else []
+        fresh = batch.loc[batch["rank"] == _EVENT, ["at", "seq", "value"]]
+        line = pd.concat(
+            [pd.DataFrame(held, columns=["at", "seq", "value"]).astype(fresh.dtypes), fresh],
+            ignore_index=True,
+        )
+        at = line["at"].to_numpy()
+        window_us = int(batch["window_us"].iloc[0])
+        # Values from this position on belong to the running snapshot.
+        start = 0 if active else len(line)
         out: list[tuple] = []
-        for row in batch.itertuples(index=False):
-            if row.rank == _EVENT:
-                if active:
-                    item = (int(row.at), int(row.seq), row.value)
-                    held = [item] if self.kind == NORMAL else [*self._recent(held, row), item]
-            elif row.command == "trigger":
-                if active:
-                    iteration += 1
-                    out.extend(self._emit(key, row, iteration, held))
-            else:
-                active, iteration, held = row.command == "start", 0, []
-        self.progress.update((active, iteration))
-        if held:
-            self.values.put([tuple(item) for item in held])
+        for row in batch[batch["rank"] == _COMMAND].itertuples(index=False):
+            end = int(at.searchsorted(row.at, side="right"))
+            if row.command != "trigger":
+                active, iteration = row.command == "start", 0
+                start = end if active else len(line)
+            elif active:
+                iteration += 1
+                first = self._first(at, start, end, row.at - window_us)
+                found = line.iloc[first:end][["seq", "value"]].itertuples(index=False, name=None)
+                out.extend(
+                    (key[0], key[1], row.trigger_id, iteration, *item)
+                    for item in (list(found) or [(None, None)])
+                )
+        self.progress.update((bool(active), int(iteration)))
+        end = len(line)
+        kept = line.iloc[self._first(at, start, end, int(batch["at"].iloc[-1]) - window_us) : end]
+        if active and len(kept):
+            self.values.put(list(kept.itertuples(index=False, name=None)))
         else:
             self.values.clear()
         yield pd.DataFrame(out, columns=_columns(TRIGGERED))
 
-    @staticmethod
-    def _recent(held: list, row: Any) -> list:
-        if held and held[0][0] > row.at - row.window_us:
-            return held
-        return [item for item in held if item[0] > row.at - row.window_us]
-
-    def _emit(self, key: Any, row: Any, iteration: int, held: list) -> list[tuple]:
-        items = held if self.kind == NORMAL else self._recent(held, row)
-        found = [(item[1], item[2]) for item in items] or [(None, None)]
-        return [(key[0], key[1], int(row.trigger_id), iteration, *item) for item in found]
+    def _first(self, at: Any, start: int, end: int, after: int) -> int:
+        """Position of the first value a snapshot at ``end`` holds."""
+        if self.kind == NORMAL:
+            return max(start, end - 1)
+        return max(start, int(at.searchsorted(after, side="right")))
 
     def close(self) -> None:
         pass
@@ -199,3 +228,107 @@ def triggered_stream(
             SnapshotProcessor(kind, needs_start), TRIGGERED, "append", "none"
         )
     )
+
+
+DELIVERED = "pv_name STRING, seq BIGINT, at BIGINT, value DOUBLE"
+
+
+class DeliveryProcessor(StatefulProcessor):
+    """Whether a PV's monitor is started."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.active = handle.getValueState("active", "active BOOLEAN")
+
+    def handleInputRows(
+        self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
+    ) -> Iterator[pd.DataFrame]:
+        batch = _gather(rows, "at", "seq")
+        before = self.active.get()[0] if self.active.exists() else False
+        in_force = batch["command"].ffill().fillna("start" if before else "stop")
+        self.active.update((bool(in_force.iloc[-1] == "start"),))
+        yield batch[batch["command"].isna() & (in_force == "start")][_columns(DELIVERED)]
+
+    def close(self) -> None:
+        pass
+
+
+def delivery_stream(events: DataFrame, commands: DataFrame) -> DataFrame:
+    """Live events that arrive, in (ts, seq) order, while their PV's monitor is started.
+
+    ``commands`` has pv_name, ts, seq and command (``start`` or ``stop``).
+    """
+    at = F.unix_micros("ts").alias("at")
+    seen = events.select("pv_name", at, "seq", F.lit(None).cast("string").alias("command"), "value")
+    asked = commands.select(
+        "pv_name", at, "seq", "command", F.lit(None).cast("double").alias("value")
+    )
+    return (
+        seen.unionByName(asked)
+        .groupBy("pv_name")
+        .transformWithStateInPandas(DeliveryProcessor(), DELIVERED, "append", "none")
+        .withColumn("ts", F.timestamp_micros("at"))
+        .drop("at")
+    )
+
+
+ASSEMBLED = "msg_id STRING, completed_at BIGINT, offset BIGINT, pv_name STRING, value STRING"
+
+
+class AssemblyProcessor(StatefulProcessor):
+    """Values of one open snapshot, until its first completing message.
+
+    That a snapshot is complete is remembered, so that late messages are ignored.
+    """
+
+    def __init__(self, remember_ms: int | None) -> None:
+        self.remember_ms = remember_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.done = handle.getValueState("done", "completed_at BIGINT", self.remember_ms)
+        self.values = handle.getListState("values", "offset BIGINT, pv_name STRING, value STRING")
+
+    def handleInputRows(
+        self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
+    ) -> Iterator[pd.DataFrame]:
+        batch = _gather(rows, "offset")
+        ends = batch.loc[batch["completes"], "offset"]
+        out: list[tuple] = []
+        if not self.done.exists():
+            last = int(ends.iloc[0]) if len(ends) else None
+            fresh = batch[batch["pv_name"].notna() & ~batch["completes"]]
+            if last is not None:
+                fresh = fresh[fresh["offset"] < last]
+            items = list(fresh[["offset", "pv_name", "value"]].itertuples(index=False, name=None))
+            if last is None:
+                if items:
+                    self.values.appendList(items)
+            else:
+                stored = [tuple(item) for item in self.values.get()] if self.values.exists() else []
+                out = [(key[0], last, *item) for item in [*stored, *items, (last, None, None)]]
+                self.values.clear()
+                self.done.update((last,))
+        yield pd.DataFrame(out, columns=_columns(ASSEMBLED))
+
+    def close(self) -> None:
+        pass
+
+
+def assembly_stream(messages: DataFrame, remember_ms: int | None = None) -> DataFrame:
+    """One-shot snapshots of a live message log, one row per value.
+
+    ``messages`` has msg_id, offset and value, as ``routing.assemble_snapshots`` takes them.
+    The last row of a snapshot has a null ``pv_name``, so an empty one shows too.  A query
+    that runs for ever sets ``remember_ms``, after which a completed snapshot's last trace
+    leaves the state; the clock then keeps the query running, so leave it out when a query
+    should stop at the end of its input.
+    """
+    return (
+        parse_one_shot(messages)
+        .groupBy("msg_id")
+        .transformWithStateInPandas(
+            AssemblyProcessor(remember_ms),
+            ASSEMBLED,
+            "append",
+            "processingTime" if remember_ms else "none",
+        )
+    )

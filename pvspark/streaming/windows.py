@@ -7,6 +7,8 @@ One call serves the snapshots that share window parameters.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pvspark.functions import windows
@@ -134,3 +136,26 @@ def buffered_stream(events: DataFrame, members: DataFrame, origin_ms: int) -> Da
     """
     placed = assign_iterations(events, members, origin_ms)
     return with_timestamps(placed, origin_ms).drop("in_gap")
+
+
+def traffic_stream(
+    messages: DataFrame, bucket_ms: int, keys: Sequence[str] = ("topic",), lateness_ms: int = 0
+) -> DataFrame:
+    """Messages and body bytes per key and time bucket of a live log, once a bucket closes."""
+    size = F.octet_length("value").cast("bigint")
+    return (
+        messages.withWatermark("ts", f"{lateness_ms} milliseconds")
+        .groupBy(*keys, F.window("ts", f"{bucket_ms} milliseconds"))
+        .agg(
+            F.count(F.lit(1)).alias("n_messages"),
+            F.sum(size).alias("n_bytes"),
+            F.max(size).alias("max_bytes"),
+        )
+        .select(
+            *keys,
+            F.unix_millis("window.start").alias("bucket_start_ms"),
+            "n_messages",
+            "n_bytes",
+            "max_bytes",
+        )
+    )

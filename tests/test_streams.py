@@ -6,7 +6,8 @@ import pytest
 from helpers import ORIGIN_MS, at, events, members, rows
 from pyspark.sql import functions as F
 
-from pvspark.operators import latest, reassembly, snapshots, subscriptions, triggered
+from pvspark import schemas
+from pvspark.operators import latest, reassembly, routing, snapshots, subscriptions, traffic, triggered
 from pvspark.sources.live import as_event_time, file_stream
 from pvspark.streaming import delivery, keyed, stateful, windows
 
@@ -213,3 +214,52 @@ def test_batches_reach_user_code_whole(spark, tmp_path):
     delivery.deliver_batches(
         event_replay(spark, log, tmp_path), handler, str(tmp_path / "ck"), availableNow=True).awaitTermination()
     assert dict(seen) == {0: 20, 1: 20, 2: 20}
+
+
+@pytest.mark.parametrize("files", [1, 4])
+def test_delivery_while_active_stream(spark, tmp_path, files):
+    log = events(spark, ITEMS)
+    orders = spark.createDataFrame(
+        [(pv, at(ms), 1000 + i, kind) for i, (pv, ms, kind) in enumerate(
+            [("a", 100, "start"), ("a", 300, "start"), ("a", 500, "stop"), ("b", 10, "stop"), ("a", 800, "start"), ("b", 900, "start")])],
+        "pv_name STRING, ts TIMESTAMP_NTZ, seq BIGINT, command STRING")
+    live, controls = both(spark, log, orders, tmp_path, files)
+    got = delivery.run_append(spark, stateful.delivery_stream(live, controls), "t")
+    assert rows(got.select("seq")) == rows(subscriptions.deliver_while_active(log, orders).select("seq"))
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_one_shot_stream(spark, tmp_path, files):
+    bodies = ['"a":1', '"error":0,"b":2', '"a":1,"b":2', '"a":3', '"error":1', '"a":9', '"error":1']
+    log = spark.createDataFrame(
+        [(i, f'{{"reply_id":"{name}",{body}}}', name) for i, (name, body) in enumerate(
+            [("s", body) for body in bodies] + [("open", '"a":1'), ("empty", '"error":2')])],
+        "offset BIGINT, value STRING, msg_id STRING")
+    out = delivery.run_append(spark, stateful.assembly_stream(replay(spark, log, "offset", tmp_path, files)), "t")
+    columns = ["msg_id", "offset", "pv_name", "value"]
+    assert rows(out.where("pv_name IS NOT NULL").select(columns)) == rows(routing.assemble_snapshots(log).select(columns))
+    assert rows(out.where("pv_name IS NULL").select("msg_id", "offset")) == [("empty", 8), ("s", 4)]
+
+
+def test_traffic_stream(spark, tmp_path):
+    log = spark.createDataFrame(
+        [("tu"[i % 2], at(i * 40), "x" * i) for i in range(30)], "topic STRING, ts TIMESTAMP_NTZ, value STRING")
+    got = delivery.run_append(spark, windows.traffic_stream(event_replay(spark, log, tmp_path), 100), "t")
+    expected = traffic.traffic_report(log, 100).where(F.col("bucket_start_ms") < ORIGIN_MS + 1100)
+    assert rows(got) == rows(expected)
+
+
+def test_replies_on_a_stream(spark, tmp_path):
+    log = spark.createDataFrame(
+        [("x", 0, i, at(i), "json", body) for i, body in enumerate(
+            ['{"reply_id":"r","p":{"value":1}}', '{"reply_id":"q","error":3,"message":"m"}', '{"reply_id":"k","publishing_topic":"snap"}'])],
+        schemas.MESSAGES)
+    nothing = spark.createDataFrame([], "reply_id STRING, pv_name STRING, topic STRING")
+    requests = spark.createDataFrame([("r", "p"), ("q", "p"), ("k", "p")], "reply_id STRING, pv_name STRING")
+    for routed in (
+        routing.route(log, requests, nothing, nothing, nothing),
+        delivery.run_append(spark, routing.route(replay(spark, log, "offset", tmp_path), requests, nothing, nothing, nothing), "t"),
+    ):
+        assert rows(routing.get_results(routed, requests).select("reply_id", "result")) == [
+            ("k", '{"reply_id":"k","publishing_topic":"snap"}'), ("q", None), ("r", '{"value":1}')]
+        assert rows(routing.acknowledged_topics(routed)) == [("k", "snap")]
