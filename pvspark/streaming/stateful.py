@@ -6,6 +6,7 @@ import math
 from collections.abc import Iterator
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -25,12 +26,27 @@ def _columns(schema: str) -> list[str]:
     return [field.split()[0] for field in schema.split(", ")]
 
 
-def _gather(rows: Iterator[pd.DataFrame], *order: str) -> pd.DataFrame:
-    """The rows of one key in this micro-batch, in order.
+def _gather(rows: Iterator[pd.DataFrame], *order: str) -> dict[str, np.ndarray]:
+    """The columns of one key's rows in this micro-batch, sorted.
 
     A micro-batch is bounded by the source (files or offsets per trigger), and so is this.
+    Keys are many and mostly small, so plain arrays are used instead of frames.
     """
-    return pd.concat(list(rows)).sort_values(list(order), ignore_index=True)
+    frames = list(rows)
+    columns = {
+        name: np.concatenate([frame[name].to_numpy() for frame in frames])
+        for name in frames[0].columns
+    }
+    index = np.lexsort([columns[name] for name in reversed(order)])
+    return {name: values[index] for name, values in columns.items()}
+
+
+def _rows(batch: dict[str, np.ndarray], mask: np.ndarray, *names: str) -> list[tuple]:
+    return list(zip(*[batch[name][mask].tolist() for name in names]))
+
+
+def _frame(rows: list[tuple], schema: str) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=_columns(schema))
 
 
 class ReassemblyProcessor(StatefulProcessor):
@@ -50,37 +66,38 @@ class ReassemblyProcessor(StatefulProcessor):
         self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
     ) -> Iterator[pd.DataFrame]:
         batch = _gather(rows, "offset")
-        data = batch[(batch["message_type"] == DATA) & batch["pv_name"].notna()]
-        control = batch[batch["message_type"].isin([HEADER, TAIL])]
+        kind, offset, iteration = batch["message_type"], batch["offset"], batch["iter_index"]
+        is_value = (kind == DATA) & ~pd.isna(batch["pv_name"])
 
-        def values_between(low: int, high: float, iteration: int) -> list[tuple]:
-            inside = data[
-                (data["offset"] > low) & (data["offset"] < high) & (data["iter_index"] == iteration)
-            ]
-            return list(inside[["offset", "pv_name", "value"]].itertuples(index=False, name=None))
+        def values_between(low: int, high: float, current: int) -> list[tuple]:
+            inside = is_value & (offset > low) & (offset < high) & (iteration == current)
+            return _rows(batch, inside, "offset", "pv_name", "value")
 
-        opened = tuple(self.header.get()) if self.header.exists() else None
+        opened = self.header.get()
         since = -1
         out: list[tuple] = []
-        for row in control.itertuples(index=False):
-            if row.message_type == HEADER:
+        control = (kind == HEADER) | (kind == TAIL)
+        for what, where, current, when in _rows(
+            batch, control, "message_type", "offset", "iter_index", "timestamp_ms"
+        ):
+            if what == HEADER:
                 if opened is None:
-                    opened = (int(row.offset), int(row.iter_index), int(row.timestamp_ms))
-                    since = row.offset
-            elif opened is not None and row.iter_index == opened[1]:
-                stored = [tuple(item) for item in self.values.get()] if self.values.exists() else []
-                whole = [*stored, *values_between(since, row.offset, opened[1]), (row.offset, None, None)]
-                out.extend((key[0], *opened, row.timestamp_ms, *item) for item in whole)
+                    opened, since = (where, current, when), where
+            elif opened is not None and current == opened[1]:
+                stored = [tuple(item) for item in self.values.get()]
+                whole = [*stored, *values_between(since, where, current), (where, None, None)]
+                out.extend((key[0], *opened, when, *item) for item in whole)
                 self.values.clear()
                 opened = None
         if opened is None:
             self.header.clear()
         else:
-            self.header.update(opened)
+            self.header.update(tuple(opened))
             fresh = values_between(since, math.inf, opened[1])
             if fresh:
                 self.values.appendList(fresh)
-        yield pd.DataFrame(out, columns=_columns(REASSEMBLED))
+        if out:
+            yield _frame(out, REASSEMBLED)
 
     def close(self) -> None:
         pass
@@ -135,42 +152,34 @@ class SnapshotProcessor(StatefulProcessor):
         self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
     ) -> Iterator[pd.DataFrame]:
         batch = _gather(rows, "at", "rank", "seq")
-        if self.progress.exists():
-            active, iteration = self.progress.get()
-        else:
-            active, iteration = not self.needs_start, 0
-        held = [tuple(item) for item in self.values.get()] if self.values.exists() else []
-        fresh = batch.loc[batch["rank"] == _EVENT, ["at", "seq", "value"]]
-        line = pd.concat(
-            [pd.DataFrame(held, columns=["at", "seq", "value"]).astype(fresh.dtypes), fresh],
-            ignore_index=True,
-        )
-        at = line["at"].to_numpy()
-        window_us = int(batch["window_us"].iloc[0])
+        active, iteration = self.progress.get() or (not self.needs_start, 0)
+        held = [tuple(item) for item in self.values.get()]
+        is_event = batch["rank"] == _EVENT
+        line = held + _rows(batch, is_event, "at", "seq", "value")
+        at = np.array([item[0] for item in line], dtype=np.int64)
+        window_us = int(batch["window_us"][0])
         # Values from this position on belong to the running snapshot.
         start = 0 if active else len(line)
         out: list[tuple] = []
-        for row in batch[batch["rank"] == _COMMAND].itertuples(index=False):
-            end = int(at.searchsorted(row.at, side="right"))
-            if row.command != "trigger":
-                active, iteration = row.command == "start", 0
+        for command, when, trigger_id in _rows(batch, ~is_event, "command", "at", "trigger_id"):
+            end = int(at.searchsorted(when, side="right"))
+            if command != "trigger":
+                active, iteration = command == "start", 0
                 start = end if active else len(line)
             elif active:
                 iteration += 1
-                first = self._first(at, start, end, row.at - window_us)
-                found = line.iloc[first:end][["seq", "value"]].itertuples(index=False, name=None)
-                out.extend(
-                    (key[0], key[1], row.trigger_id, iteration, *item)
-                    for item in (list(found) or [(None, None)])
-                )
+                first = self._first(at, start, end, when - window_us)
+                found = [item[1:] for item in line[first:end]] or [(None, None)]
+                out.extend((key[0], key[1], trigger_id, iteration, *item) for item in found)
         self.progress.update((bool(active), int(iteration)))
-        end = len(line)
-        kept = line.iloc[self._first(at, start, end, int(batch["at"].iloc[-1]) - window_us) : end]
-        if active and len(kept):
-            self.values.put(list(kept.itertuples(index=False, name=None)))
-        else:
+        newest = int(batch["at"][-1])
+        kept = line[self._first(at, start, len(line), newest - window_us) :] if active else []
+        if kept:
+            self.values.put(kept)
+        elif held:
             self.values.clear()
-        yield pd.DataFrame(out, columns=_columns(TRIGGERED))
+        if out:
+            yield _frame(out, TRIGGERED)
 
     def _first(self, at: Any, start: int, end: int, after: int) -> int:
         """Position of the first value a snapshot at ``end`` holds."""
@@ -243,10 +252,13 @@ class DeliveryProcessor(StatefulProcessor):
         self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
     ) -> Iterator[pd.DataFrame]:
         batch = _gather(rows, "at", "seq")
-        before = self.active.get()[0] if self.active.exists() else False
-        in_force = batch["command"].ffill().fillna("start" if before else "stop")
-        self.active.update((bool(in_force.iloc[-1] == "start"),))
-        yield batch[batch["command"].isna() & (in_force == "start")][_columns(DELIVERED)]
+        before = self.active.get() or (False,)
+        in_force = pd.Series(batch["command"]).ffill().fillna("start" if before[0] else "stop")
+        is_active = in_force.to_numpy() == "start"
+        self.active.update((bool(is_active[-1]),))
+        delivered = is_active & pd.isna(batch["command"])
+        if delivered.any():
+            yield _frame(_rows(batch, delivered, *_columns(DELIVERED)), DELIVERED)
 
     def close(self) -> None:
         pass
@@ -290,24 +302,23 @@ class AssemblyProcessor(StatefulProcessor):
     def handleInputRows(
         self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
     ) -> Iterator[pd.DataFrame]:
+        if self.done.get() is not None:
+            return
         batch = _gather(rows, "offset")
-        ends = batch.loc[batch["completes"], "offset"]
-        out: list[tuple] = []
-        if not self.done.exists():
-            last = int(ends.iloc[0]) if len(ends) else None
-            fresh = batch[batch["pv_name"].notna() & ~batch["completes"]]
-            if last is not None:
-                fresh = fresh[fresh["offset"] < last]
-            items = list(fresh[["offset", "pv_name", "value"]].itertuples(index=False, name=None))
-            if last is None:
-                if items:
-                    self.values.appendList(items)
-            else:
-                stored = [tuple(item) for item in self.values.get()] if self.values.exists() else []
-                out = [(key[0], last, *item) for item in [*stored, *items, (last, None, None)]]
-                self.values.clear()
-                self.done.update((last,))
-        yield pd.DataFrame(out, columns=_columns(ASSEMBLED))
+        ends = batch["offset"][batch["completes"].astype(bool)]
+        is_value = ~pd.isna(batch["pv_name"])
+        if len(ends) == 0:
+            if is_value.any():
+                self.values.appendList(_rows(batch, is_value, "offset", "pv_name", "value"))
+            return
+        last = int(ends[0])
+        fresh = _rows(batch, is_value & (batch["offset"] < last), "offset", "pv_name", "value")
+        stored = [tuple(item) for item in self.values.get()]
+        if stored:
+            self.values.clear()
+        self.done.update((last,))
+        whole = [*stored, *fresh, (last, None, None)]
+        yield _frame([(key[0], last, *item) for item in whole], ASSEMBLED)
 
     def close(self) -> None:
         pass
