@@ -17,7 +17,7 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-# Set only where the session does not say otherwise: keyed stream state that spills to disk.
+# Keyed stream state that spills to disk; the stateful streams need this provider.
 STATE_STORE_CONF = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
