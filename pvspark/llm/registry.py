@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pvspark.llm import q_chat, q_mixing, q_sharding
+from pvspark.llm import q_chat, q_mixing, q_quality, q_sharding
 
 QUERIES = {
     "op4_mixing": q_mixing.query,
+    "op5_quality": q_quality.query,
     "op7_sharding": q_sharding.query,
     "op10_chat": q_chat.query,
 }

@@ -24,3 +24,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def text_key() -> Column:
     """128 bits that stand for the text of a row; null and empty texts share one key."""
     return F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
+
+
+def small_batches(spark: SparkSession, rows: int = 500) -> None:
+    """Few rows per Arrow batch, as texts can be long; holds for the plans of this session."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
