@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pvspark.llm import q_chat, q_mixing, q_quality, q_sharding
+from pvspark.llm import q_chat, q_mixing, q_quality, q_sharding, q_simhash
 
 QUERIES = {
     "op4_mixing": q_mixing.query,
     "op5_quality": q_quality.query,
     "op7_sharding": q_sharding.query,
+    "op8_simhash": q_simhash.query,
     "op10_chat": q_chat.query,
 }
 

@@ -5,10 +5,17 @@ A written table cuts the lineage and survives the loss of any executor.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pvspark.session import scratch_path
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+TEXT_ROWS = 500
+NUMBER_ROWS = 20_000
+
 
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a table in the shared folder (``spark.checkpoint.dir``)."""
@@ -26,6 +33,18 @@ def text_key() -> Column:
     return F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
 
 
-def small_batches(spark: SparkSession, rows: int = 500) -> None:
+
+def small_batches(spark: SparkSession, rows: int = TEXT_ROWS) -> None:
     """Few rows per Arrow batch, as texts can be long; holds for the plans of this session."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set(BATCH_ROWS, str(rows))
+
+
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Another batch size for what is computed inside: more for numbers, fewer for texts."""
+    before = spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
