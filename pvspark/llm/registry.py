@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pvspark.llm import q_chat, q_mixing, q_quality, q_sharding, q_simhash
+from pvspark.llm import q_chat, q_decontamination, q_mixing, q_quality, q_sharding, q_simhash
 
 QUERIES = {
+    "op3_decontamination": q_decontamination.query,
     "op4_mixing": q_mixing.query,
     "op5_quality": q_quality.query,
     "op7_sharding": q_sharding.query,
@@ -13,6 +14,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op3_decontamination": q_decontamination.SQL,
     "op4_mixing": q_mixing.SQL,
     "op7_sharding": q_sharding.SQL,
     "op10_chat": q_chat.SQL,
