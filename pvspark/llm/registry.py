@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pvspark.llm import q_chat, q_decontamination, q_mixing, q_quality, q_sharding, q_simhash
+from pvspark.llm import q_chat, q_decontamination, q_mixing, q_quality, q_repeats, q_sharding, q_simhash
 
 QUERIES = {
+    "op2_repeats": q_repeats.query,
     "op3_decontamination": q_decontamination.query,
     "op4_mixing": q_mixing.query,
     "op5_quality": q_quality.query,
