@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pvspark.llm import q_chat, q_decontamination, q_mixing, q_quality, q_repeats, q_sharding, q_simhash
+from pvspark.llm import q_chat, q_decontamination, q_embeddings, q_mixing, q_quality, q_repeats, q_sharding, q_simhash
 
 QUERIES = {
+    "op6_embeddings": q_embeddings.query,
     "op2_repeats": q_repeats.query,
     "op3_decontamination": q_decontamination.query,
     "op4_mixing": q_mixing.query,
@@ -15,6 +16,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op6_embeddings": q_embeddings.SQL,
     "op3_decontamination": q_decontamination.SQL,
     "op4_mixing": q_mixing.SQL,
     "op7_sharding": q_sharding.SQL,
