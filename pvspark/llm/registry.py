@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pvspark.llm import q_chat, q_decontamination, q_embeddings, q_mixing, q_quality, q_repeats, q_sharding, q_simhash
+from pvspark.llm import q_chat, q_decontamination, q_embeddings, q_fuzzy_lines, q_mixing, q_quality, q_repeats, q_sharding, q_simhash
 
 QUERIES = {
     "op6_embeddings": q_embeddings.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_quality": q_quality.query,
     "op7_sharding": q_sharding.query,
     "op8_simhash": q_simhash.query,
+    "op9_fuzzy_lines": q_fuzzy_lines.query,
     "op10_chat": q_chat.query,
 }
 
