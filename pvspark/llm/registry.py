@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pvspark.llm import q_chat, q_decontamination, q_embeddings, q_fuzzy_lines, q_mixing, q_quality, q_repeats, q_sharding, q_simhash
+from pvspark.llm import q_chat, q_decontamination, q_embeddings, q_fuzzy_lines, q_mixing, q_pii, q_quality, q_repeats, q_sharding, q_simhash
 
 QUERIES = {
+    "op1_pii": q_pii.query,
     "op6_embeddings": q_embeddings.query,
     "op2_repeats": q_repeats.query,
     "op3_decontamination": q_decontamination.query,
