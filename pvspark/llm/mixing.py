@@ -101,7 +101,7 @@ def mix(
 ) -> DataFrame:
     """One row per document: what the mix takes of it and where in training it stands.
 
-    Returns ``doc_id``, ``source``, ``size`` (words), ``source_size``, ``target``, ``taken`` (words,
+    Returns ``doc_id``, ``source``, ``key`` (a hash of the text), ``size`` (words), ``source_size``, ``target``, ``taken`` (words,
     repeats counted), ``n_passes`` and ``positions`` (one per pass, ascending).  A pass over the
     source's order takes whole documents; the last document of the last pass is cut so that a source
     takes its target to the word.  Null source: a source of its own, last; null text: size 0, nothing
@@ -109,7 +109,9 @@ def mix(
     the order of size.  Columns other than doc_id, source and text are not read.
     """
     digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    base = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), digest.alias("place"))
+    base = docs.select(
+        "doc_id", "source", F.xxhash64("text").alias("key"), word_count(F.col("text")).alias("size"), digest.alias("place")
+    )
     base = base.withColumn("hash_range", F.substring("place", 1, RANGE_DIGITS))
     ranges = base.groupBy("source", "hash_range").agg(F.sum("size").alias("range_size"))
     earlier = Window.partitionBy("source").orderBy("hash_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -153,6 +155,7 @@ def mix(
     return joined.withColumn("target_words", words).withColumn("slope", slope).select(
         "doc_id",
         "source",
+        "key",
         "size",
         "source_size",
         "target",
@@ -162,9 +165,27 @@ def mix(
     )
 
 
-def in_training_order(mixed: DataFrame, partitions: int | None = None) -> DataFrame:
-    """One row per pass of a document, range-sorted by training position over all partitions."""
-    passes = mixed.select("*", F.explode("positions").alias("position")).drop("positions")
-    keys = [F.col("position"), F.col("source"), F.col("doc_id")]
-    ranged = passes.repartitionByRange(partitions, *keys) if partitions else passes.repartitionByRange(*keys)
-    return ranged.sortWithinPartitions(*keys)
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """Rows of ``docs`` as often as the mix takes them, wholly or in part, range-sorted by training position.
+
+    Documents that are not taken are left out.  Rows that repeat id and text share their passes evenly.
+    """
+    identity = [F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_mix_id")]
+    passes = (
+        mix(docs, **options)
+        .filter("n_passes > 0")
+        .groupBy(*identity, F.col("key").alias("_mix_key"))
+        .agg(F.sort_array(F.flatten(F.collect_list("positions"))).alias("_mix_positions"))
+    )
+    keys = ["_mix_id", "_mix_key"]
+    same = Window.partitionBy(*keys)
+    joined = (
+        docs.select("*", *identity, F.xxhash64("text").alias("_mix_key"))
+        .join(passes, keys)
+        .withColumn("_mix_row", F.row_number().over(same.orderBy("doc_id")) - 1)
+        .withColumn("_mix_rows", F.count(F.lit(1)).over(same))
+    )
+    own = F.filter("_mix_positions", lambda p, at: at % F.col("_mix_rows") == F.col("_mix_row"))
+    placed = joined.select(*docs.columns, "_mix_id", F.explode(own).alias("_mix_position"))
+    order = ["_mix_position", "_mix_id"]
+    return placed.repartitionByRange(*order).sortWithinPartitions(*order).select(*docs.columns)

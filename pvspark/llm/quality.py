@@ -209,3 +209,14 @@ def score(docs: DataFrame, forest: Forest, threshold: float = 0.5) -> DataFrame:
     added = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
     schema = T.StructType([*plain.schema.fields, *added])
     return plain.mapInPandas(run, schema)
+
+
+def keep_good(docs: DataFrame, forest: Forest, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score ``threshold`` or more; only texts go to Python."""
+
+    @F.pandas_udf("double")
+    def scored(texts: pd.Series) -> pd.Series:
+        x = np.array([statistics(t) for t in texts], float).reshape(-1, len(STATISTICS))
+        return pd.Series(forest.score(x) if len(x) else np.zeros(0))
+
+    return docs.filter(scored("text") >= threshold)
