@@ -4,14 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+
+def keep_keys(value: Column, names: Column) -> Column:
+    """The members of a variant object whose name is in an array of names; no names keeps all."""
+    members = F.try_variant_get(value, "$", "map<string,variant>")
+    return F.map_filter(members, lambda key, _: (F.size(names) == 0) | F.array_contains(names, key))
 
 
 def project_fields(df: DataFrame, fields: Sequence[str], column: str = "fields") -> DataFrame:
     """Keep only the named fields of a struct, map or JSON text column; no names keeps all.
 
     A struct is strict: an unknown field is an analysis error, and the projection prunes the
-    nested Parquet columns.  A map or JSON object keeps the named keys that are present.
+    nested Parquet columns.  A map, JSON object or variant keeps the named keys that are present,
+    each with its own type and nulls; a variant becomes a map from name to variant, and what is
+    no object becomes null.
     """
     if not fields:
         return df
@@ -21,16 +29,9 @@ def project_fields(df: DataFrame, fields: Sequence[str], column: str = "fields")
     elif isinstance(kind, T.MapType):
         kept = F.map_filter(F.col(column), lambda key, _: key.isin(*fields))
     elif isinstance(kind, T.StringType):
-        schema = T.StructType([T.StructField(name, T.StringType()) for name in fields])
-        kept = F.to_json(F.from_json(F.col(column), schema))
+        kept = F.to_json(keep_keys(F.try_parse_json(F.col(column)), F.array(*map(F.lit, fields))))
     elif isinstance(kind, T.VariantType):
-        kept = F.map_from_arrays(
-            F.array(*[F.lit(name) for name in fields]),
-            F.array(
-                *[F.try_variant_get(F.col(column), f"$.{name}", "string") for name in fields]
-            ),
-        )
-        kept = F.map_filter(kept, lambda _, value: value.isNotNull())
+        kept = keep_keys(F.col(column), F.array(*map(F.lit, fields)))
     else:
         raise TypeError(f"cannot project fields of {kind.simpleString()}")
     return df.withColumn(column, kept)

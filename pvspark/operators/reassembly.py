@@ -157,12 +157,26 @@ def place_data(
 def reassemble(
     records: DataFrame, mode: str = "robust", segment_offsets: int | None = None
 ) -> DataFrame:
-    """Values of every completed iteration, one row per value, ordered by offset."""
+    """Values of every completed iteration, one row per value, ordered by offset.
+
+    The last row of an iteration has the tail's offset and a null ``pv_name``, so an iteration
+    without values shows too.
+    """
     if mode not in ("robust", "exact"):
         raise ValueError("mode must be 'robust' or 'exact'")
     width = segment_offsets or _width(records)
     epochs = robust_epochs(records, width) if mode == "robust" else exact_epochs(records)
-    return place_data(records, materialise(epochs), width)
+    epochs = materialise(epochs)
+    closing = epochs.where(F.col("tail_offset").isNotNull()).select(
+        "topic",
+        "header_offset",
+        "iteration",
+        "header_timestamp",
+        "tail_timestamp",
+        F.col("tail_timestamp").alias("timestamp"),
+        F.col("tail_offset").alias("offset"),
+    )
+    return place_data(records, epochs, width).unionByName(closing, allowMissingColumns=True)
 
 
 def completed_iterations(epochs: DataFrame, values: DataFrame, pv_list: DataFrame) -> DataFrame:

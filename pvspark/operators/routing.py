@@ -55,7 +55,7 @@ def decode(messages: DataFrame) -> DataFrame:
             {
                 "__is_map": lambda body: body.isNotNull(),
                 "__id": _message_id,
-                "is_typed": lambda body: F.map_contains_key(body, MESSAGE_TYPE),
+                "is_typed": lambda body: F.try_element_at(body, F.lit(MESSAGE_TYPE)).isNotNull(),
             },
         )
         .withColumn("reject", reject)
@@ -153,7 +153,7 @@ def acknowledged_topics(routed: DataFrame) -> DataFrame:
 
 
 def get_results(routed: DataFrame, requests: DataFrame) -> DataFrame:
-    """What each answered get returns: the PV's member of the reply, or the whole reply.
+    """What each reply to a get returns: the PV's member of the reply, or the whole reply.
 
     ``requests`` has reply_id and pv_name.  A reply with an error returns nothing.
     """
@@ -161,10 +161,30 @@ def get_results(routed: DataFrame, requests: DataFrame) -> DataFrame:
         F.col("msg_id").alias("reply_id"), "offset", "value"
     )
     body = F.from_json("value", "map<string,string>")
-    failed = F.coalesce(F.get_json_object("value", "$.error").try_cast("bigint"), F.lit(0)) != 0
+    code = F.coalesce(F.get_json_object("value", "$.error").try_cast("bigint"), F.lit(0))
     member = F.coalesce(F.try_element_at(body, F.col("pv_name")), F.col("value"))
     return replies.join(requests.select("reply_id", "pv_name"), "reply_id").select(
-        "reply_id", "pv_name", "offset", F.when(~failed, member).alias("result")
+        "reply_id",
+        "pv_name",
+        "offset",
+        F.when(code == 0, member).alias("result"),
+        code.alias("error"),
+        F.get_json_object("value", "$.message").alias("message"),
+    )
+
+
+def get_outcomes(routed: DataFrame, requests: DataFrame) -> DataFrame:
+    """One row per get: ``ok``, ``error`` or ``unanswered``, by the reply that came first.
+
+    Later replies to the same id are ignored.  Adds offset, result, error and message of the reply.
+    """
+    reply = F.struct("offset", "result", "error", "message")
+    first = get_results(routed, requests).groupBy("reply_id").agg(F.min_by(reply, "offset").alias("reply"))
+    status = (
+        F.when(F.col("reply").isNull(), "unanswered").when(F.col("reply.error") != 0, "error").otherwise("ok")
+    )
+    return requests.select("reply_id", "pv_name").join(first, "reply_id", "left").select(
+        "reply_id", "pv_name", status.alias("status"), "reply.*"
     )
 
 
@@ -200,13 +220,12 @@ def assemble_snapshots(messages: DataFrame) -> DataFrame:
 
     ``messages`` are those routed to snapshots: msg_id, offset, value.  The first message
     with a non-zero error completes a snapshot; later ones are ignored and unfinished
-    snapshots are not emitted.
+    snapshots are not emitted.  The last row of a snapshot has the completing message's offset
+    and a null ``pv_name``, so a snapshot without values shows too.
     """
     parsed = parse_one_shot(messages)
     ends = parsed.where("completes").groupBy("msg_id").agg(F.min("offset").alias("completed_at"))
     values = parsed.where(~F.col("completes") & F.col("pv_name").isNotNull())
-    return (
-        values.drop("completes")
-        .join(ends, "msg_id")
-        .where(F.col("offset") < F.col("completed_at"))
-    )
+    kept = values.drop("completes").join(ends, "msg_id").where(F.col("offset") < F.col("completed_at"))
+    closing = ends.withColumn("offset", F.col("completed_at"))
+    return kept.unionByName(closing, allowMissingColumns=True)

@@ -134,24 +134,21 @@ def ordered_lists(
     out: str,
     max_values: int = LIST_VALUES,
 ) -> DataFrame:
-    """The rows of each key as lists of structs, ordered by ``order``, in parts.
+    """The rows of each key as lists of structs, ordered by ``order``, in numbered parts.
 
-    No list is longer than ``max_values``; a key with more rows has several, numbered by
-    ``part``, whose concatenation is the whole.  The usual case, measured first, is one part
-    per key and one shuffle.  Otherwise rows are numbered along segments, so that neither a
-    task nor a cell grows with the size of a key.  ``position`` is the order's BIGINT axis
-    and ``widest`` the segment width to start from.
+    Every result has ``part`` (from 0) and ``first_position``, the place within the key of the
+    part's first row.  No list is longer than ``max_values``, so a key with more rows has
+    several, whose concatenation is the whole; the form is the same for every size.  Rows are
+    numbered along segments, so that neither a task nor a cell grows with the size of a key.
+    ``position`` is the order's BIGINT axis and ``widest`` the segment width to start from.
     """
-    longest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).agg(F.max("__n")).first()[0]
-    if (longest or 0) <= max_values:
-        numbered = df.withColumn("part", F.lit(0).cast("bigint"))
-    else:
-        width = fitting_width(df, keys, position, widest, max_values)
-        numbered = running_number(
-            df.withColumn("__segment", segment_of(position, width)),
-            keys, "__segment", order, "__number",
-        ).withColumn("part", floor_div(F.col("__number") - 1, F.lit(max_values).cast("bigint")))
+    width = fitting_width(df, keys, position, widest)
+    bound = F.lit(max_values).cast("bigint")
+    numbered = running_number(
+        df.withColumn("__segment", segment_of(position, width)), keys, "__segment", order, "__number"
+    ).withColumn("part", floor_div(F.col("__number") - 1, bound))
     rest = [name for name in values if name not in order]
-    return numbered.groupBy(*keys, "part").agg(
+    lists = numbered.groupBy(*keys, "part").agg(
         F.sort_array(F.collect_list(F.struct(*order, *rest))).alias(out)
     )
+    return lists.withColumn("first_position", F.col("part") * bound)

@@ -112,7 +112,7 @@ def recurring_normal(
     complete: bool = True,
     carry_forward: bool = False,
 ) -> DataFrame:
-    """Last value per PV per window.  ``value`` is null where the PV's list is empty.
+    """Last value per PV per window, with its ``value_seq``; both are null where there is none.
 
     ``carry_forward`` repeats the PV's last known value through windows without data; the
     rows it orders are one per PV and iteration, whatever the event rate.
@@ -121,7 +121,11 @@ def recurring_normal(
     result = (
         _values_and_spine(events, members, origin_ms, complete)
         .groupBy(*_group_key())
-        .agg(F.max_by("value", happened).alias("value"), F.count("seq").alias("n_events"))
+        .agg(
+            F.max_by("value", happened).alias("value"),
+            F.max_by("seq", happened).alias("value_seq"),
+            F.count("seq").alias("n_events"),
+        )
     )
     if carry_forward:
         upto = (
@@ -184,7 +188,11 @@ def buffered_lists(
     lists = _value_lists(rows, _group_key(), max_values)
     if complete:
         empty = _silent(events, members, origin_ms).withColumns(
-            {"part": F.lit(0).cast("bigint"), "values": F.array().cast("array<double>")}
+            {
+                "part": F.lit(0).cast("bigint"),
+                "first_position": F.lit(0).cast("bigint"),
+                "values": F.array().cast("array<double>"),
+            }
         )
         lists = lists.unionByName(empty)
     return with_timestamps(lists, origin_ms)
@@ -218,7 +226,7 @@ def sub_push_batches(
 def merge_pushes(batches: DataFrame) -> DataFrame:
     """The final result of a window: its pushes concatenated in order, one row per value.
 
-    Positions come from the sizes of the earlier pushes (a few numbers per window), so the
+    Positions come from the sizes of the earlier parts of pushes (a few numbers per window), so the
     lists are never brought together in one cell.
     """
     earlier = (

@@ -6,10 +6,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pvspark.functions.uri import SNAPSHOT_NAME_PATTERN, uri_pv_name, uri_status
 
+# --- fixed values: snapshot kinds and specification defaults ------------------------
 NORMAL = "normal"
 TIMED_BUFFERED = "timedbuffered"
-
-# --- fixed values: specification defaults ------------------------------------------
 SPEC_DEFAULTS = {
     "time_window": 1000,
     "repeat_delay": 0,
@@ -22,21 +21,16 @@ SPEC_DEFAULTS = {
 
 
 def with_defaults(specs: DataFrame) -> DataFrame:
-    """Add the optional spec columns that are absent; existing columns keep their nulls."""
-    missing = {
-        name: F.lit(value).cast("bigint") if type(value) is int else F.lit(value)
-        for name, value in SPEC_DEFAULTS.items()
-        if name not in specs.columns
-    }
-    return specs.withColumns(missing) if missing else specs
-
-
-def _negative(column: Column) -> Column:
-    return column.isNull() | (column < 0)
+    """Give the optional spec columns their defaults where they are absent or null."""
+    filled = {}
+    for name, value in SPEC_DEFAULTS.items():
+        default = F.lit(value).cast("bigint") if type(value) is int else F.lit(value)
+        filled[name] = F.coalesce(F.col(name), default) if name in specs.columns else default
+    return specs.withColumns(filled)
 
 
 def validate_specs(specs: DataFrame) -> DataFrame:
-    """Add ``error``: the first failing rule, or null for a valid spec.
+    """Fill in defaults and add ``error``: the first failing rule, or null for a valid spec.
 
     The address check of the whole list comes first, as it does when a snapshot is created.
     ``type`` and ``sub_push_delay_msec`` are not validated.
@@ -54,9 +48,8 @@ def validate_specs(specs: DataFrame) -> DataFrame:
         .when(~F.regexp_like(name, F.lit(SNAPSHOT_NAME_PATTERN)), "invalid_name")
         .when(F.coalesce(F.size(uris), F.lit(0)) <= 0, "empty_pv_list")
         .when(F.exists(uris, lambda uri: uri.isNull()), "non_text_uri")
-        .when(_negative(F.col("time_window")), "negative_time_window")
-        .when(_negative(F.col("repeat_delay")), "negative_repeat_delay")
-        .when(F.col("triggered").isNull(), "triggered_not_boolean")
+        .when(F.col("time_window") < 0, "negative_time_window")
+        .when(F.col("repeat_delay") < 0, "negative_repeat_delay")
     )
     return with_defaults(specs).withColumn("error", error)
 
@@ -64,15 +57,17 @@ def validate_specs(specs: DataFrame) -> DataFrame:
 MEMBER_PARAMS = ("time_window", "repeat_delay", "sub_push_delay_msec")
 
 
-def snapshot_members(specs: DataFrame) -> DataFrame:
-    """Long form of the specs: one row per distinct (snapshot_name, pv_name).
+def snapshot_members(specs: DataFrame, *carried: str) -> DataFrame:
+    """Long form of the valid specs: one row per distinct (snapshot_name, pv_name).
 
-    The key is the PV name, so ``pva://x`` and ``ca://x`` are one member.
+    A spec with any fault has no members.  The key is the PV name, so ``pva://x`` and ``ca://x``
+    are one member.  Further columns of the specs are ``carried`` along.
     """
+    kept = [*MEMBER_PARAMS, *carried]
     return (
-        with_defaults(specs)
-        .select("snapshot_name", *MEMBER_PARAMS, F.explode("pv_uri_list").alias("uri"))
-        .where(uri_status(F.col("uri")) == "ok")
-        .select("snapshot_name", uri_pv_name(F.col("uri")).alias("pv_name"), *MEMBER_PARAMS)
+        validate_specs(specs)
+        .where(F.col("error").isNull())
+        .select("snapshot_name", *kept, F.explode("pv_uri_list").alias("uri"))
+        .select("snapshot_name", uri_pv_name(F.col("uri")).alias("pv_name"), *kept)
         .dropDuplicates(["snapshot_name", "pv_name"])
     )

@@ -31,13 +31,15 @@ def pack_tables(
 ) -> DataFrame:
     """Rows of each key as table values, ordered by ``order``.
 
-    A table over ``max_rows`` comes in parts, numbered by ``part``, so that a hot key is many
-    cells.  ``position`` is the BIGINT axis of the order and ``widest`` a width along it.
+    Every table comes in parts of at most ``max_rows`` rows, numbered by ``part``, with the place
+    of the part's first row as ``first_position``, so that a hot key is many cells.
+    ``position`` is the BIGINT axis of the order and ``widest`` a width along it.
     """
     lists = ordered_lists(rows, keys, position, widest, order, columns, "__rows", max_rows)
     return lists.select(
         *keys,
         "part",
+        "first_position",
         F.array(*[F.lit(name) for name in columns]).alias("labels"),
         _payload("__rows", columns).alias("payload"),
     )
@@ -55,14 +57,21 @@ def table_status(columns: Sequence[str], payload: str = "payload") -> Column:
 def unpack_tables(
     tables: DataFrame, keys: Sequence[str], columns: Sequence[str]
 ) -> DataFrame:
-    """One row per table row, with its position; ragged tables are padded and flagged."""
+    """One row per table row, with its position in the whole table; ragged ones are padded and flagged.
+
+    Tables without ``first_position`` are whole.
+    """
     zipped = F.arrays_zip(*[F.col(f"payload.`{name}`").alias(name) for name in columns])
+    first = F.col("first_position") if "first_position" in tables.columns else F.lit(0).cast("bigint")
     return tables.select(
-        *keys, table_status(columns).alias("status"), F.posexplode(zipped).alias("row_index", "__row")
+        *keys,
+        table_status(columns).alias("status"),
+        first.alias("__first"),
+        F.posexplode(zipped).alias("__at", "__row"),
     ).select(
         *keys,
         "status",
-        "row_index",
+        (F.col("__first") + F.col("__at")).alias("row_index"),
         *[F.col(f"__row.`{name}`").alias(name) for name in columns],
     )
 
@@ -73,14 +82,17 @@ def set_columns(
     """Apply column replacements to stored tables.
 
     ``replacements`` has the keys, ``seq``, ``label`` and ``data`` (texts are cast to the
-    column's type); the last one per label wins.  A label the table does not declare changes
-    nothing and makes the table's ``status`` ``undefined_label``.
+    column's type); the last one per label wins.  A label that is in the table's own ``labels``
+    and in ``columns`` is known; another changes nothing and makes ``status`` ``undefined_label``.
+    For tables in parts, ``keys`` include ``part``, and each part's data is replaced.
     """
     label = F.col("label")
-    known = label.isin(*columns)
+    declared = tables.select(*keys, F.col("labels").alias("__labels"))
+    replacements = replacements.join(declared, list(keys), "left")
+    known = label.isin(*columns) & F.coalesce(F.array_contains("__labels", label), F.lit(False))
     per_table = replacements.groupBy(*keys).agg(
         *[
-            F.max_by("data", F.when(label == name, F.col("seq"))).alias(f"__new_{name}")
+            F.max_by("data", F.when(known & (label == name), F.col("seq"))).alias(f"__new_{name}")
             for name in columns
         ],
         F.count_if(known).alias("__known"),
@@ -99,6 +111,7 @@ def set_columns(
     )
     return tables.join(per_table, list(keys), "left").select(
         *keys,
+        *[name for name in ("part", "first_position") if name in tables.columns and name not in keys],
         "labels",
         F.struct(*[replaced(name) for name in columns]).alias("payload"),
         status.alias("status"),

@@ -111,16 +111,17 @@ def triggered_buffered(
 ) -> DataFrame:
     """Per trigger and listed PV, all values in ``(trigger - time_window, trigger]``.
 
-    One row per value, ordered by (ts, seq).  Both sides carry a time bucket as wide as the
+    One row per value, ordered by (ts, seq); a listed PV without a value has one row whose ``seq``
+    is null.  Both sides carry a time bucket as wide as the
     window, so the equi-join reads at most two buckets per trigger before the exact range.
     """
     window_us = F.col("time_window") * 1000
     listed = members.select("snapshot_name", "pv_name", "time_window").where(
         F.col("time_window") > 0
     )
+    numbered = materialise(number_triggers(triggers, segment_ms))
     asked = (
-        number_triggers(triggers, segment_ms)
-        .join(checked_broadcast(listed), "snapshot_name")
+        numbered.join(checked_broadcast(listed), "snapshot_name")
         .withColumn("__at", epoch_us(F.col("ts")))
         .select(
             "snapshot_name",
@@ -146,10 +147,22 @@ def triggered_buffered(
     in_window = (F.col("__seen_at") <= F.col("__at")) & (
         F.col("__seen_at") > F.col("__at") - window_us
     )
-    return (
+    entry = ["snapshot_name", "trigger_id", "iteration", "pv_name", "trigger_ts"]
+    values = (
         asked.join(seen, ["snapshot_name", "pv_name", "__bucket"])
         .where(in_window)
-        .select(
-            "snapshot_name", "trigger_id", "iteration", "pv_name", "trigger_ts", "ts", "seq", "value"
-        )
+        .select(*entry, "ts", "seq", "value")
+    )
+    # Entries and values are counted in one grouping: those that have no value are silent.
+    every = numbered.join(checked_broadcast(members.select("snapshot_name", "pv_name")), "snapshot_name").select(
+        *[F.col("ts").alias(name) if name == "trigger_ts" else F.col(name) for name in entry]
+    )
+    silent = (
+        every.withColumn("__n", F.lit(0))
+        .unionByName(values.select(*entry).withColumn("__n", F.lit(1)))
+        .groupBy(*entry)
+        .agg(F.max("__n").alias("__n"))
+        .where(F.col("__n") == 0)
+        .drop("__n")
     )
+    return values.unionByName(silent, allowMissingColumns=True)

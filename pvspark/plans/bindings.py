@@ -72,6 +72,23 @@ def spec_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def mixed_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Specs of every type and trigger mode, with nulls for defaults, field filters and faulty ones."""
+    number = F.expr("cast(substring(snapshot_name, 6) as int)")
+    spec = members(spark, sf_dir).groupBy("snapshot_name").agg(
+        F.sort_array(F.collect_list(F.concat(F.lit("pva://"), "pv_name"))).alias("uris")
+    ).withColumn("n", number)
+    return spec.select(
+        "snapshot_name",
+        F.when(F.col("n") % 7 == 6, F.concat("uris", F.array(F.lit("pv://bad")))).otherwise(F.col("uris")).alias("pv_uri_list"),
+        F.when(F.col("n") % 4 != 2, F.when(F.col("n") % 3 == 0, WINDOW_MS).otherwise(2 * WINDOW_MS)).cast("bigint").alias("time_window"),
+        F.lit(None).cast("bigint").alias("repeat_delay"),
+        F.when(F.col("n") % 4 > 1, True).alias("triggered"),
+        F.when(F.col("n") % 2 == 1, "timedbuffered").alias("type"),
+        F.when(F.col("n") % 3 == 0, F.array(F.lit("k"))).when(F.col("n") % 3 == 1, F.array(F.lit("zz"))).alias("pv_field_filter_list"),
+    )
+
+
 def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").select(_user_pv("s_suppkey").alias("pv_name"))
 

@@ -147,7 +147,12 @@ bucket AS (
 kept AS (
   SELECT topic, b + 1 AS iteration, {ORIGIN} + b * {WINDOW} AS header_timestamp,
          {ORIGIN} + (b + 1) * {WINDOW} AS tail_timestamp, off + 1 AS "offset", pv_name, value
-  FROM bk WHERE NOT (event_type = 'error' AND value < 10))"""
+  FROM bk WHERE NOT (event_type = 'error' AND value < 10)),
+closing AS (
+  SELECT topic, b + 1 AS iteration, {ORIGIN} + b * {WINDOW} AS header_timestamp,
+         {ORIGIN} + (b + 1) * {WINDOW} AS tail_timestamp, 4 * (b + 1) * {WINDOW} * 1000 - 1 AS "offset",
+         CAST(NULL AS VARCHAR) AS pv_name, CAST(NULL AS DOUBLE) AS value
+  FROM bucket WHERE first_type <> 'purchase')"""
 
 TRIGGER_ROWS = f"""WITH {EV}, {MB}, {TRIG}
 SELECT trig.snapshot_name, trig.trigger_id, trig.iteration, mb.pv_name,
@@ -159,12 +164,12 @@ GROUP BY ALL"""
 TRIGGER_VALUES = f"""WITH {EV}, {MB}, {TRIG}
 SELECT trig.snapshot_name, trig.trigger_id, trig.iteration, mb.pv_name, ev.seq, ev.value
 FROM trig JOIN mb USING (snapshot_name)
-JOIN ev ON ev.pv_name = mb.pv_name AND ev.ts_us <= trig.ts_us AND ev.ts_us > trig.ts_us - {WINDOW * 1000}"""
+LEFT JOIN ev ON ev.pv_name = mb.pv_name AND ev.ts_us <= trig.ts_us AND ev.ts_us > trig.ts_us - {WINDOW * 1000}"""
 
 EXACT_ROWS = f"""WITH {EV}, {RECORDS},
 blocked AS (SELECT topic, min(b) AS b FROM bucket WHERE first_type = 'purchase' GROUP BY topic)
-SELECT kept.* FROM kept LEFT JOIN blocked USING (topic)
-WHERE blocked.b IS NULL OR kept.iteration <= blocked.b"""
+SELECT every.* FROM (SELECT * FROM kept UNION ALL SELECT * FROM closing) every LEFT JOIN blocked USING (topic)
+WHERE blocked.b IS NULL OR every.iteration <= blocked.b"""
 
 REQUESTS = f"""req AS (
   SELECT 'ord-' || o_orderkey AS reply_id, 'cust:' || o_custkey AS pv_name, o_orderkey, o_orderdate AS asked,
@@ -266,10 +271,9 @@ SELECT p_partkey, snapshot_name, CASE
   WHEN snapshot_name = '' THEN 'empty_name'
   WHEN NOT regexp_matches(snapshot_name, '{NAME}') THEN 'invalid_name'
   WHEN p_size = 2 THEN 'empty_pv_list' WHEN p_size = 5 THEN 'non_text_uri'
-  WHEN p_size < 10 THEN 'negative_time_window' WHEN p_size > 45 THEN 'negative_repeat_delay'
-  WHEN p_size = 40 THEN 'triggered_not_boolean' END AS error
+  WHEN p_size < 10 THEN 'negative_time_window' WHEN p_size > 45 THEN 'negative_repeat_delay' END AS error
 FROM s""",
-    "field_projection": "SELECT event_id AS seq, 'user:' || user_id AS pv_name, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, '{\"k\":\"' || json_extract_string(props, '$.k') || '\"}' AS fields FROM events",
+    "field_projection": "SELECT event_id AS seq, 'user:' || user_id AS pv_name, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, CAST(json_object('k', json_extract(props, '$.k')) AS VARCHAR) AS fields FROM events",
     "field_projection_struct": "SELECT event_id AS seq, value, (epoch_us(ts) // 1000) AS \"timeStamp\" FROM events",
     "envelope_demux": f'WITH {ROUTED} SELECT "offset", CASE WHEN route IN (\'no_header\', \'bad_ser_type\') THEN NULL ELSE msg_id END AS msg_id, route, message_size FROM routed',
     "demuxed_monitor_values": f'WITH {ROUTED} SELECT \'user:\' || user_id AS pv_name, "offset", value FROM routed WHERE route = \'monitor\'',
@@ -309,7 +313,8 @@ FROM (SELECT 'user:' || c_custkey AS pv_name FROM customer) c LEFT JOIN l USING
   SELECT topic, b, 4 * 1000 * (b * {WINDOW} + CASE WHEN first_type = 'error' THEN {WINDOW} // 2 ELSE {WINDOW} END) AS done
   FROM bucket WHERE first_type <> 'purchase')
 SELECT topic || '-' || b AS msg_id, off AS "offset", pv_name, value
-FROM bk JOIN ends USING (topic, b) WHERE off < done AND event_type <> 'error'""",
+FROM bk JOIN ends USING (topic, b) WHERE off < done AND event_type <> 'error'
+UNION ALL SELECT topic || '-' || b, done, NULL, NULL FROM ends""",
     "recurring_normal": f"WITH {WIN_SPINE} SELECT {_KEYS}, arg_max(value, (ts, seq)) AS value, count(seq) AS n_events FROM spine LEFT JOIN win USING ({_KEYS}) GROUP BY ALL",
     "recurring_normal_carried": f"""WITH {WIN_SPINE}, n AS (
   SELECT {_KEYS}, arg_max(value, (ts, seq)) AS value, count(seq) AS n_events FROM spine LEFT JOIN win USING ({_KEYS}) GROUP BY ALL)
@@ -323,7 +328,7 @@ SELECT {_KEYS}, last_value(value IGNORE NULLS) OVER (PARTITION BY snapshot_name,
     "snapshot_counters": f"""WITH {WIN_SPINE} SELECT snapshot_name, iteration, header_timestamp, tail_timestamp,
   count(DISTINCT pv_name) AS n_listed, count(DISTINCT pv_name) FILTER (WHERE seq IS NOT NULL) AS n_pvs, count(seq) AS n_values
 FROM spine LEFT JOIN win USING ({_KEYS}) GROUP BY ALL""",
-    "reassembly_robust": f"WITH {EV}, {RECORDS} SELECT kept.* FROM kept JOIN bucket ON kept.topic = bucket.topic AND kept.iteration = b + 1 WHERE first_type <> 'purchase'",
+    "reassembly_robust": f"WITH {EV}, {RECORDS} SELECT kept.* FROM kept JOIN bucket ON kept.topic = bucket.topic AND kept.iteration = b + 1 WHERE first_type <> 'purchase' UNION ALL SELECT * FROM closing",
     "reassembly_exact": EXACT_ROWS,
     "reassembly_completed": f"""WITH {EV}, {MB}, {RECORDS}
 SELECT bucket.topic, b + 1 AS iteration, mb.pv_name, count(kept.value) AS n_values
@@ -331,12 +336,12 @@ FROM bucket JOIN mb ON mb.snapshot_name = bucket.topic
 LEFT JOIN kept ON kept.topic = bucket.topic AND kept.iteration = b + 1 AND kept.pv_name = mb.pv_name
 WHERE first_type <> 'purchase' GROUP BY ALL""",
     "put_state": STATE,
-    "put_state_wide": f"SELECT pv_name, max(value) FILTER (WHERE field = '1-URGENT') AS urgent, max(value) FILTER (WHERE field = '5-LOW') AS low FROM ({STATE}) WHERE field IN ('1-URGENT', '5-LOW') GROUP BY pv_name",
-    "table_pack": f"""WITH {TABLES} SELECT l_orderkey, 'linenumber,quantity,price,discount,flag' AS labels, count(*) AS n_rows,
+    "put_state_wide": f"SELECT pv_name, max(value) FILTER (WHERE field = '1-URGENT') AS urgent, max(value) FILTER (WHERE field = '2-HIGH') AS high, max(value) FILTER (WHERE field = '3-MEDIUM') AS medium, max(value) FILTER (WHERE field = '4-NOT SPECIFIED') AS not_specified, max(value) FILTER (WHERE field = '5-LOW') AS low FROM ({STATE}) GROUP BY pv_name",
+    "table_pack": f"""WITH {TABLES} SELECT l_orderkey, row_index // 100000 AS part, row_index // 100000 * 100000 AS first_position, 'linenumber,quantity,price,discount,flag' AS labels, count(*) AS n_rows,
   arg_min(price, row_index) AS first_price, arg_max(price, row_index) AS last_price FROM li GROUP BY ALL""",
     "table_unpack": f"WITH {TABLES} SELECT l_orderkey, 'ok' AS status, row_index, linenumber, quantity, price, discount, flag FROM li",
-    "table_set_column": f"""WITH {TABLES}, t AS (SELECT l_orderkey, sum(quantity) AS q, sum(discount) AS d FROM li GROUP BY ALL)
-SELECT l_orderkey,
+    "table_set_column": f"""WITH {TABLES}, t AS (SELECT l_orderkey, row_index // 100000 AS part, sum(quantity) AS q, sum(discount) AS d FROM li GROUP BY ALL)
+SELECT l_orderkey, part,
   CASE WHEN o_orderkey IS NULL OR o_orderstatus = 'F' THEN 'unchanged' WHEN o_orderpriority = '1-URGENT' THEN 'undefined_label' ELSE 'replaced' END AS status,
   round(CASE WHEN o_orderkey IS NULL OR o_orderstatus = 'F' OR o_orderpriority = '1-URGENT' THEN q ELSE d END, 2) AS sum_quantity
 FROM t LEFT JOIN orders ON o_orderkey = l_orderkey""",
@@ -357,7 +362,9 @@ FROM win WHERE header_timestamp + (push_index + 1) * {PUSH} <=
     "triggered_buffered_stream": TRIGGER_VALUES,
     "reassembly_stream": EXACT_ROWS,
     "request_reply_stream": f"""WITH {REQUESTS}, timed AS (
-  SELECT *, replied IS NOT NULL AND (epoch_us(replied) // 1000) <= (epoch_us(asked) // 1000) + {TIMEOUT} AS in_time FROM opened WHERE asked < TIMESTAMP '1998-01-01')
+  SELECT *, replied IS NOT NULL AND (epoch_us(replied) // 1000) <= (epoch_us(asked) // 1000) + {TIMEOUT} AS in_time FROM opened
+  -- Requests that the watermark of both inputs has closed at the end of the input.
+  WHERE epoch_us(asked) + {TIMEOUT} * 1000 < (SELECT least((SELECT max(epoch_us(o_orderdate)) FROM orders), (SELECT max(epoch_us(l_shipdate)) FROM lineitem))))
 SELECT reply_id, pv_name,
   CASE WHEN in_time AND error <> 0 THEN 'error' WHEN in_time THEN 'ok' WHEN timeout_ms IS NULL THEN 'pending' ELSE 'timeout' END AS status,
   CASE WHEN in_time THEN CAST(error AS BIGINT) END AS error, CASE WHEN in_time THEN message END AS message,
@@ -374,6 +381,37 @@ SELECT reply_id, pv_name, "offset", CASE WHEN pv_name = 'user:' || user_id THEN
 FROM routed JOIN req ON msg_id = reply_id WHERE route = 'reply'""",
 }
 
+ORACLE["snapshots_from_specs"] = f"""WITH {EV}, {MB}, {TRIG}, spec AS (
+  SELECT snapshot_name, pv_name, n, CASE WHEN n % 2 = 1 THEN 'timedbuffered' ELSE 'normal' END AS kind, n % 4 > 1 AS manual,
+    CAST(CASE WHEN n % 4 = 2 THEN 1000 WHEN n % 3 = 0 THEN {WINDOW} ELSE {2 * WINDOW} END AS BIGINT) AS win
+  FROM (SELECT *, CAST(substr(snapshot_name, 6) AS INTEGER) AS n FROM mb) WHERE n % 7 <> 6
+), spine AS (
+  SELECT spec.*, unnest(generate_series(1, (SELECT max(ts_ms) FROM ev) // win - {ORIGIN} // win + 1)) AS iteration
+  FROM spec WHERE NOT manual
+), placed AS (
+  SELECT spine.snapshot_name, iteration, spine.pv_name, kind, manual, n, ev.seq, ev.value, ev.ts
+  FROM spine LEFT JOIN ev ON ev.pv_name = spine.pv_name AND ev.ts_ms >= {ORIGIN} + (iteration - 1) * win AND ev.ts_ms < {ORIGIN} + iteration * win
+  WHERE iteration <= ((SELECT max(ts_ms) FROM ev) - {ORIGIN}) // win + 1
+  UNION ALL
+  SELECT spec.snapshot_name, iteration, spec.pv_name, kind, manual, n, ev.seq, ev.value, ev.ts
+  FROM spec JOIN trig USING (snapshot_name) LEFT JOIN ev ON ev.pv_name = spec.pv_name AND ev.ts_us <= trig.ts_us
+    AND (kind = 'normal' OR ev.ts_us > trig.ts_us - win * 1000)
+  WHERE manual
+), rows AS (
+  SELECT snapshot_name, iteration, pv_name, kind, manual, n, seq, value FROM placed WHERE kind = 'timedbuffered'
+  UNION ALL
+  SELECT snapshot_name, iteration, pv_name, kind, manual, n, arg_max(seq, (ts, seq)), arg_max(value, (ts, seq))
+  FROM placed WHERE kind = 'normal' GROUP BY ALL
+)
+SELECT snapshot_name, iteration, rows.pv_name, seq, rows.value, kind AS type, manual AS triggered,
+  CASE WHEN props IS NULL THEN NULL WHEN n % 3 = 1 THEN '{{}}' ELSE props_kept END AS fields
+FROM rows LEFT JOIN (SELECT seq, props, CAST(json_object('k', json_extract(props, '$.k')) AS VARCHAR) AS props_kept FROM ev) USING (seq)"""
+ORACLE["get_outcomes"] = f"""WITH {ROUTED}, req AS (SELECT 'req-' || p_partkey AS reply_id, 'user:' || (p_size - 1) AS pv_name FROM part),
+first AS (SELECT msg_id, min("offset") AS came FROM routed WHERE route = 'reply' GROUP BY msg_id)
+SELECT reply_id, pv_name, CASE WHEN came IS NULL THEN 'unanswered' ELSE 'ok' END AS status, came AS "offset",
+  CASE WHEN came IS NOT NULL THEN CAST(0 AS BIGINT) END AS error, CAST(NULL AS VARCHAR) AS message,
+  CASE WHEN pv_name = 'user:' || user_id THEN value END AS value
+FROM req LEFT JOIN first ON first.msg_id = reply_id LEFT JOIN routed ON routed."offset" = came"""
 ORACLE["deliver_while_active_stream"] = ORACLE["deliver_while_active"]
 ORACLE["one_shot_snapshot_stream"] = ORACLE["one_shot_snapshot"]
 ORACLE["envelope_demux_stream"] = ORACLE["envelope_demux"]

@@ -16,6 +16,7 @@ from pvspark.operators import (
     reassembly,
     routing,
     snapshots,
+    spec_snapshots,
     specs,
     subscriptions as subs,
     tables,
@@ -214,6 +215,13 @@ def get_results(spark, d):
     )
 
 
+@query
+def get_outcomes(spark, d):
+    rows = routing.get_outcomes(_routed(spark, d), b.get_requests(spark, d))
+    value = F.get_json_object("result", "$.value").try_cast("double")
+    return rows.select("reply_id", "pv_name", "status", "offset", "error", "message", value.alias("value"))
+
+
 # --- joins ------------------------------------------------------------------------------
 
 
@@ -343,16 +351,24 @@ def recurring_from_specs(spark, d):
     )
 
 
-def _positions(lists: DataFrame, *columns: str) -> DataFrame:
-    return lists.select(*columns, F.posexplode("values").alias("pos", "value")).withColumn(
-        "pos", F.col("pos").cast("bigint")
+@query
+def snapshots_from_specs(spark, d):
+    return spec_snapshots.snapshots_from_specs(
+        b.pv_events(spark, d), b.mixed_specs(spark, d), b.triggers(spark, d), b.ORIGIN_MS
     )
 
 
+def _positions(lists: DataFrame, *columns: str, first: str | None = None) -> DataFrame:
+    """One row per list item; ``first`` names the place of a part's first item."""
+    start = F.col(first) if first else F.lit(0).cast("bigint")
+    rows = lists.select(*columns, start.alias("__first"), F.posexplode("values").alias("__at", "value"))
+    return rows.select(*columns, (F.col("__first") + F.col("__at")).alias("pos"), "value")
+
+
 @query
 def recurring_buffered_lists(spark, d):
     lists = snapshots.buffered_lists(b.pv_events(spark, d), b.members(spark, d), b.ORIGIN_MS)
-    return _positions(lists, "snapshot_name", "iteration", "pv_name")
+    return _positions(lists, "snapshot_name", "iteration", "pv_name", first="first_position")
 
 
 @query
@@ -419,8 +435,9 @@ def put_state(spark, d):
 
 @query
 def put_state_wide(spark, d):
-    return latest.put_state_wide(b.writes(spark, d), ["1-URGENT", "5-LOW"]).select(
-        "pv_name", F.col("1-URGENT").alias("urgent"), F.col("5-LOW").alias("low")
+    names = {"1-URGENT": "urgent", "2-HIGH": "high", "3-MEDIUM": "medium", "4-NOT SPECIFIED": "not_specified", "5-LOW": "low"}
+    return latest.put_state_wide(b.writes(spark, d), list(names)).select(
+        "pv_name", *[F.col(field).alias(name) for field, name in names.items()]
     )
 
 
@@ -435,6 +452,8 @@ def _packed(spark, d):
 def table_pack(spark, d):
     return _packed(spark, d).select(
         *b.TABLE_KEYS,
+        "part",
+        "first_position",
         F.array_join("labels", ",").alias("labels"),
         F.size("payload.quantity").cast("bigint").alias("n_rows"),
         F.element_at("payload.price", 1).alias("first_price"),
@@ -444,8 +463,7 @@ def table_pack(spark, d):
 
 @query
 def table_unpack(spark, d):
-    rows = tables.unpack_tables(_packed(spark, d), b.TABLE_KEYS, b.TABLE_COLUMNS)
-    return rows.withColumn("row_index", F.col("row_index").cast("bigint"))
+    return tables.unpack_tables(_packed(spark, d), b.TABLE_KEYS, b.TABLE_COLUMNS)
 
 
 @query
@@ -468,7 +486,7 @@ def table_set_column(spark, d):
     )
     replaced = tables.set_columns(packed, replacements, keys, b.TABLE_COLUMNS)
     total = F.aggregate("payload.quantity", F.lit(0.0), lambda acc, item: acc + item)
-    return replaced.select(*b.TABLE_KEYS, "status", F.round(total, 2).alias("sum_quantity"))
+    return replaced.select(*keys, "status", F.round(total, 2).alias("sum_quantity"))
 
 
 @query
@@ -556,8 +574,7 @@ def triggered_buffered_stream(spark, d):
         b.pv_event_stream(spark, d), b.trigger_stream(spark, d), b.members(spark, d),
         kind=specs.TIMED_BUFFERED,
     )
-    rows = delivery.run_append(spark, stream, "triggered-buffered")
-    return rows.where(F.col("seq").isNotNull())
+    return delivery.run_append(spark, stream, "triggered-buffered")
 
 
 @query
@@ -565,8 +582,7 @@ def reassembly_stream(spark, d):
     path = scratch_path(spark, "records")
     b.snapshot_records(spark, d).write.parquet(path)
     records = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
-    rows = delivery.run_append(spark, stateful.reassembly_stream(records), "reassembled")
-    return rows.where(F.col("pv_name").isNotNull()).select(*_REASSEMBLED)
+    return delivery.run_append(spark, stateful.reassembly_stream(records), "reassembled").select(*_REASSEMBLED)
 
 
 @query
@@ -574,8 +590,7 @@ def request_reply_stream(spark, d):
     stream = keyed.correlate_stream(
         b.request_stream(spark, d), b.reply_stream(spark, d), b.TIMEOUT_MS
     )
-    rows = delivery.run_append(spark, stream, "correlated")
-    return rows.where(F.col("requested_at") < F.expr("timestamp'1998-01-01 00:00:00'")).select(
+    return delivery.run_append(spark, stream, "correlated").select(
         "reply_id", "pv_name", "status", F.col("error").cast("bigint").alias("error"), "message",
         "latency_ms",
     )
@@ -624,9 +639,7 @@ def one_shot_snapshot_stream(spark, d):
     b.one_shot_messages(spark, d).write.parquet(path)
     log = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
     rows = delivery.run_append(spark, stateful.assembly_stream(log), "assembled")
-    return rows.where(F.col("pv_name").isNotNull()).select(
-        "msg_id", "offset", "pv_name", F.col("value").cast("double").alias("value")
-    )
+    return rows.select("msg_id", "offset", "pv_name", F.col("value").cast("double").alias("value"))
 
 
 @query

@@ -33,6 +33,10 @@ COMMAND_FIELDS = {
 # -----------------------------------------------------------------------------------
 
 
+#: Fields a command may do without.
+OPTIONAL_FIELDS = {"pv_field_filter_list"}
+
+
 def request_id(*parts: Column) -> Column:
     """A reply id derived from the request, so a re-executed task sends the same one."""
     return F.md5(F.concat_ws("|", *[part.cast("string") for part in parts]))
@@ -69,6 +73,9 @@ def export_commands(requests: DataFrame, command: str, app_name: str) -> DataFra
     """
     prepared = _fields(requests, command)
     names = [name for name in COMMAND_FIELDS[command] if name in prepared.columns]
+    missing = set(COMMAND_FIELDS[command]) - set(names) - OPTIONAL_FIELDS
+    if missing:
+        raise ValueError(f"{command} needs columns for {sorted(missing)}")
     body = F.struct(
         F.lit(command).alias("command"),
         F.lit(SERIALIZATION).alias("serialization"),

@@ -35,12 +35,19 @@ def correlate_stream(
 ) -> DataFrame:
     """Outcome of each live request: ok or error from its first reply, else timeout.
 
-    ``max_timeout_ms`` bounds the join state; each row's own ``timeout_ms`` decides.  A row
-    without a reply appears when the watermark of both inputs passes the request's bound;
-    it is ``pending`` if the request itself set no timeout.
+    ``max_timeout_ms`` bounds the join state; each row's own ``timeout_ms`` decides, and one
+    beyond the bound fails the query rather than being cut to it.  A row appears when the
+    watermark of both inputs passes the request's bound.  A request that set no timeout and has
+    no reply by then is ``pending``: the batch twin ``correlate`` tells what becomes of it.
     """
     delay = f"{lateness_ms} milliseconds"
-    asked = requests.withColumnRenamed("ts", "requested_at").withWatermark("requested_at", delay)
+    too_long = F.raise_error(F.concat(F.lit("timeout beyond max_timeout_ms: "), F.col("timeout_ms").cast("string")))
+    checked = F.when(F.col("timeout_ms") > max_timeout_ms, too_long.cast("bigint")).otherwise(F.col("timeout_ms"))
+    asked = (
+        requests.withColumn("timeout_ms", checked)
+        .withColumnRenamed("ts", "requested_at")
+        .withWatermark("requested_at", delay)
+    )
     answered = replies.select(
         F.col("reply_id").alias("__id"),
         F.col("ts").alias("replied_at"),

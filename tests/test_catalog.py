@@ -74,7 +74,7 @@ SPEC = "snapshot_name STRING, pv_uri_list ARRAY<STRING>, time_window BIGINT, rep
         (("a", ["pva://a", None], 1000, 0, False), "non_text_uri"),
         (("a", ["pva://a"], -1, 0, False), "negative_time_window"),
         (("a", ["pva://a"], 1, -1, False), "negative_repeat_delay"),
-        (("a", ["pva://a"], 1, 0, None), "triggered_not_boolean"),
+        (("a", ["pva://a"], None, None, None), None),
         (("", ["bad"], -1, -1, None), "malformed_uri"),
         (("", ["pv://a"], -1, -1, None), "bad_protocol"),
         (("", [], -1, -1, None), "empty_name"),
@@ -87,7 +87,7 @@ def test_first_failing_rule(spark, spec, error):
 
 def test_defaults_and_membership(spark):
     df = spark.createDataFrame(
-        [("s", ["pva://a", "ca://a", "ca://b", "bad"])], "snapshot_name STRING, pv_uri_list ARRAY<STRING>"
+        [("s", ["pva://a", "ca://a", "ca://b"]), ("half", ["pva://a", "bad"]), ("bad name!", ["pva://a"])], "snapshot_name STRING, pv_uri_list ARRAY<STRING>"
     )
     filled = specs.with_defaults(df).first()
     assert (filled.time_window, filled.repeat_delay, filled.sub_push_delay_msec) == (1000, 0, 0)

@@ -103,8 +103,14 @@ def test_field_projection_kinds(spark):
     assert rows(projection.project_fields(df, ["value", "timeStamp"], "s").select("s.*")) == [(1.5, 7)]
     assert projection.project_fields(df, ["value"], "s").schema["s"].dataType.names == ["value"]
     assert projection.project_fields(df, ["value", "zz"], "m").first()["m"] == {"value": "x"}
-    assert projection.project_fields(df, ["value"], "j").first()["j"] == '{"value":"1"}'
-    assert projection.project_fields(df, ["value", "zz"], "v").first()["v"] == {"value": "1"}
+    assert projection.project_fields(df, ["value"], "j").first()["j"] == '{"value":1}'
+    kept = projection.project_fields(df, ["value", "zz"], "v").select(F.to_json("v").alias("v"))
+    assert kept.first()["v"] == '{"value":1}'
+    odd = spark.createDataFrame(
+        [('{"k":5,"z":[1,2],"b":true,"n":null,"o":{"a":1}}',), ("[1]",), (None,), ("no json",)], "j STRING")
+    fields = ["k", "z", "b", "n", "zz"]
+    assert [r.j for r in projection.project_fields(odd, fields, "j").collect()] == [
+        '{"b":true,"k":5,"n":null,"z":[1,2]}', None, None, None]
     assert projection.project_fields(df, [], "s") is df
     with pytest.raises(Exception, match="zz"):
         projection.project_fields(df, ["zz"], "s").collect()
@@ -138,8 +144,10 @@ def test_unpack_undoes_pack(spark, longest):
         table_rows(spark), ["pv_name"], COLUMNS, ["ord"], F.col("ord"), 10, max_rows=longest
     )
     assert packed.first()["labels"] == COLUMNS
-    back = tables.unpack_tables(packed, ["pv_name", "part"], COLUMNS)
+    back = tables.unpack_tables(packed, ["pv_name"], COLUMNS)
     assert rows(back.select("pv_name", *COLUMNS)) == rows(table_rows(spark))
+    assert rows(back.select("pv_name", "row_index", "s")) == [
+        ("t1", 0, "a"), ("t1", 1, "b"), ("t1", 2, "c"), ("t2", 0, "x")]
     assert {r["status"] for r in back.collect()} == {"ok"}
 
 
