@@ -88,7 +88,8 @@ def curriculum_position(fraction: Column, slope: Column) -> Column:
     inverse, written without cancellation for small slopes.
     """
     a, b = slope, F.lit(1.0) - slope
-    return 2.0 * fraction / (b + F.sqrt(F.greatest(b * b + 4.0 * a * fraction, F.lit(0.0))))
+    inverse = 2.0 * fraction / (b + F.sqrt(F.greatest(b * b + 4.0 * a * fraction, F.lit(0.0))))
+    return F.when(fraction > 0, inverse).otherwise(F.lit(0.0))
 
 
 def mix(
