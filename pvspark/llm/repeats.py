@@ -247,6 +247,28 @@ def _digest_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({_ID: own, _KEY: key, "begin": np.arange(start, start + n), "single": single, "digest": digests})
 
 
+def _distinct_stretches(dealt: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One row for each different stretch, and the runs of stretches that occur more than once.
+
+    Such a stretch is repeated as a whole; it stays as one row that others may match, but asks no more.
+    """
+    marked = dealt.withColumn("digest", F.md5("context"))
+    at = F.struct(_ID, _KEY, "context", "start", "place", "single")
+    classes = written(
+        marked.groupBy("group", "part", "digest").agg(F.count(F.lit(1)).alias("n"), F.first(at).alias("at")),
+        "stretches",
+    )
+    single = (F.col("at.single") & (F.col("n") == 1)).alias("single")
+    rows = classes.select(
+        f"at.{_ID}", f"at.{_KEY}", "group", "part", "at.context", "at.start", "at.place", single, F.lit(True).alias("dealt")
+    )
+    often = classes.filter("n > 1").select("group", "part", "digest")
+    runs = marked.filter("single").join(often, ["group", "part", "digest"], "left_semi").select(
+        _ID, _KEY, F.col("start").alias("begin"), (F.col("start") + F.octet_length("context")).cast("long").alias("end")
+    )
+    return rows, runs
+
+
 def repeated_runs(docs: DataFrame, max_group: int = MAX_GROUP) -> DataFrame:
     """``_id``, ``_key``, ``begin``, ``end`` of byte runs to remove; runs may overlap or repeat."""
     spark = docs.sparkSession
@@ -254,10 +276,12 @@ def repeated_runs(docs: DataFrame, max_group: int = MAX_GROUP) -> DataFrame:
         anchors = written(anchor_table(docs), "anchors")
     source = _identified(docs.select("doc_id", "text"))
     with batch_rows(spark, TEXT_ROWS):
-        common = (
+        # Written, so that the join below can split a gram that very many rows have.
+        common = written(
             anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.min("digest").alias("a"), F.max("digest").alias("b"))
             .filter("n > 1")
-            .select("gram", (F.col("a") != F.col("b")).alias("differ"))
+            .select("gram", (F.col("a") != F.col("b")).alias("differ")),
+            "common_grams",
         )
         place = F.struct(_ID, _KEY, "first", "last", "place")
         contexts = written(
@@ -285,29 +309,29 @@ def repeated_runs(docs: DataFrame, max_group: int = MAX_GROUP) -> DataFrame:
             ),
             "fetched",
         )
+        stretches, repeated = _distinct_stretches(fetched.filter("dealt"))
         large = written(
-            fetched.filter("dealt").groupBy("group", "part").count().filter(F.col("count") > max_group).select("group", "part"),
+            stretches.groupBy("group", "part").count().filter(F.col("count") > max_group).select("group", "part"),
             "large_groups",
         )
-        within, counted = fetched, None
+        within, counted = fetched.filter("NOT dealt").unionByName(stretches), repeated
         if not large.isEmpty():
-            within = fetched.join(large, ["group", "part"], "left_anti").select(fetched.columns)
+            within = within.join(large, ["group", "part"], "left_anti").select(fetched.columns)
             windows = (
-                fetched.join(large, ["group", "part"], "left_semi")
+                stretches.join(large, ["group", "part"], "left_semi")
                 .select(fetched.columns)
                 .mapInPandas(
                     _digest_windows, f"{_ID} STRING, {_KEY} LONG, `begin` LONG, single BOOLEAN, digest BINARY"
                 )
             )
             often = windows.groupBy("digest").count().filter("count > 1").select("digest")
-            counted = (
+            counted = counted.unionByName(
                 windows.filter("single").join(often, "digest", "left_semi")
                 .select(_ID, _KEY, "begin", (F.col("begin") + LENGTH).alias("end"))
             )
         dealt = within.repartition("group", "part").sortWithinPartitions("group", "part")
         found = written(dealt.mapInPandas(_search, f"{_ID} STRING, {_KEY} LONG, `begin` LONG, `end` LONG"), "found")
-    runs = whole.unionByName(found)
-    return runs.unionByName(counted) if counted is not None else runs
+    return whole.unionByName(found).unionByName(counted)
 
 
 def _rewrite(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
