@@ -175,9 +175,9 @@ def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
 
 
 def _key(column: str) -> list[Column]:
-    """128 bits of a vector's values; zeros of both signs are one."""
+    """128 bits of a vector's values; zeros of both signs are one.  The second hash starts from another seed."""
     plain = F.transform(column, lambda x: x + F.lit(0.0))
-    return [F.xxhash64(plain).alias("hash_one"), F.xxhash64(plain, F.lit(1)).alias("hash_two")]
+    return [F.xxhash64(plain).alias("hash_one"), F.xxhash64(F.lit(1), plain).alias("hash_two")]
 
 
 def _is_valid(column: str) -> Column:
