@@ -19,14 +19,19 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from pvspark.llm.scratch import written
+
 KINDS = ("email", "ip", "card", "phone")
 #: Bound of the sample of places that the model is fitted on.
 MAX_PLACES = 800
+#: Characters of a sampled place; longer ones are cut into pieces of about this length.
+MOST_PIECE = 1000
 MOST_TOKENS = 20
 WEIGHTS = 1 << 13
 
@@ -411,29 +416,65 @@ def fit_model(texts: list[str], rounds: int = 8, rate: float = 0.3, decay: float
     return model
 
 
-def fit(docs: DataFrame, max_places: int = MAX_PLACES) -> Model:
-    """Fit on a sample of at most ``max_places`` places: one of each document, by a hash of its text.
+def _pieces(text: str) -> Iterator[str]:
+    """All places of a text; a long one in pieces that end between its entities and triggers."""
+    for place in places(text):
+        own = place.text
+        if len(own) <= MOST_PIECE:
+            yield own
+            continue
+        marks: list[list[int]] = []
+        for a, b in sorted([m.span() for m in _TRIGGER.finditer(own)] + [(a, b) for _, a, b in base_spans(own)]):
+            if marks and a < marks[-1][1]:
+                marks[-1][1] = max(marks[-1][1], b)
+            else:
+                marks.append([a, b])
+        first = 0
+        for k, (_, end) in enumerate(marks):
+            if k + 1 < len(marks) and marks[k + 1][1] - marks[first][0] <= MOST_PIECE - 2 * _REACH:
+                continue
+            left = max(marks[first - 1][1] if first else 0, marks[first][0] - _REACH)
+            yield own[left : min(marks[k + 1][0] if k + 1 < len(marks) else len(own), end + _REACH)]
+            first = k + 1
 
-    Nine tenths at most are places with an entity, and the rest are places with none.
+
+def sample_places(docs: DataFrame, max_places: int = MAX_PLACES) -> list[str]:
+    """At most ``max_places`` places out of all places of all documents, by a hash of their text.
+
+    Seven fortieths at most for each of the four kinds, by its base spans, and three tenths for places
+    with none; a place with several kinds counts for each.  Long places take part in pieces.
     """
+    each = max(1, max_places * 7 // 10 // len(KINDS))
+    bounds = {**dict.fromkeys(KINDS, each), "": max(1, max_places - each * len(KINDS))}
 
     def sample(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept: dict[str, dict[str, str]] = {kind: {} for kind in bounds}
+        most = dict.fromkeys(bounds, "g")  # above any digest, while a kind has room
         for batch in batches:
-            out = []
             for text in batch["text"]:
-                own = next(places(text or ""), None)
-                if own is not None and len(own.text) <= 1000:
-                    digest = hashlib.blake2b(own.text.encode("utf-8", "replace"), digest_size=8).hexdigest()
-                    out.append((own.text, digest, bool(base_spans(own.text))))
-            yield pd.DataFrame(out, columns=["text", "place", "has_entity"])
-
-    found = docs.select("text").filter(F.col("text").rlike("[0-9@]")).mapInPandas(sample, "text STRING, place STRING, has_entity BOOLEAN")
-    found = found.dropDuplicates(["place"])
-    several = max(1, max_places * 7 // 10)
-    with_one = found.filter("has_entity").orderBy("place").limit(several)
-    without = found.filter("NOT has_entity").orderBy("place").limit(max(1, max_places - several))
-    texts = [r["text"] for r in with_one.unionByName(without).select("text").collect()]
-    return fit_model(sorted(texts))
+                for own in _pieces(text or ""):
+                    digest = hashlib.blake2b(own.encode("utf-8", "replace"), digest_size=8).hexdigest()
+                    if digest >= max(most.values()):
+                        continue
+                    for kind in {k for k, _, _ in base_spans(own)} or {""}:
+                        lowest = kept[kind]
+                        if digest < most[kind]:
+                            lowest[digest] = own
+                            if len(lowest) > bounds[kind]:
+                                del lowest[most[kind] if most[kind] != "g" else max(lowest)]
+                            if len(lowest) == bounds[kind]:
+                                most[kind] = max(lowest)
+        yield pd.DataFrame([(k, d, t) for k, own in kept.items() for d, t in own.items()], columns=["kind", "place", "text"])
+
+    found = docs.select("text").filter(F.col("text").rlike(r"[0-9@]|[\[({<]\s?(at|AT|At)\s?[\])}>]")).mapInPandas(sample, "kind STRING, place STRING, text STRING")
+    found = written(found.dropDuplicates(["kind", "place"]), "places")
+    lowest = [found.filter(F.col("kind") == kind).orderBy("place").limit(n) for kind, n in bounds.items()]
+    return sorted({r["text"] for r in reduce(DataFrame.unionByName, lowest).select("text").collect()})
+
+
+def fit(docs: DataFrame, max_places: int = MAX_PLACES) -> Model:
+    """Fit on a bounded sample of places, see ``sample_places``."""
+    return fit_model(sample_places(docs, max_places))
 
 
 def all_spans(model: Model, text: str) -> tuple[list[Span], list[Span]]:
