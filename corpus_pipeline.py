@@ -23,7 +23,12 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest id."""
+    """One document of each group of near-duplicates: the one with the smallest id.
+
+    The stage follows op8's link rule (SimHash of 3-word shingles, at most 2 of 64 bits differ) instead of
+    similarity 0.8 on 5-word shingles.  Most near copies at that similarity stay, each as a document of its
+    own; the README has the measured share that is found.
+    """
     small_batches(spark)
     return simhash.keep_one(docs)
 
