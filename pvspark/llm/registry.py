@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pvspark.llm import q_chat, q_decontamination, q_embeddings, q_fuzzy_lines, q_mixing, q_pii, q_quality, q_repeats, q_sharding, q_simhash
+from pvspark.llm import (
+    q_chat, q_decontamination, q_embeddings, q_fuzzy_lines, q_infilling, q_mixing, q_nearest, q_pii, q_quality, q_repeats, q_sharding,
+    q_simhash,
+)
 
 QUERIES = {
     "op1_pii": q_pii.query,
@@ -15,6 +18,8 @@ QUERIES = {
     "op8_simhash": q_simhash.query,
     "op9_fuzzy_lines": q_fuzzy_lines.query,
     "op10_chat": q_chat.query,
+    "op12_nearest": q_nearest.query,
+    "op13_infilling": q_infilling.query,
 }
 
 ORACLE = {
@@ -23,4 +28,6 @@ ORACLE = {
     "op4_mixing": q_mixing.SQL,
     "op7_sharding": q_sharding.SQL,
     "op10_chat": q_chat.SQL,
+    "op12_nearest": q_nearest.SQL,
+    "op13_infilling": q_infilling.SQL,
 }
