@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pvspark.llm import (
     q_chat, q_decontamination, q_embeddings, q_fuzzy_lines, q_infilling, q_mixing, q_nearest, q_pii, q_quality, q_repeats, q_sharding,
-    q_simhash,
+    q_simhash, q_variants,
 )
 
 QUERIES = {
@@ -18,6 +18,7 @@ QUERIES = {
     "op8_simhash": q_simhash.query,
     "op9_fuzzy_lines": q_fuzzy_lines.query,
     "op10_chat": q_chat.query,
+    "op11_variants": q_variants.query,
     "op12_nearest": q_nearest.query,
     "op13_infilling": q_infilling.query,
 }
