@@ -34,7 +34,7 @@ LIST_WORDS = 1000
 LEVELS = 3
 BUCKET_ROWS = 100_000
 SLICE = 1 << 20
-_PAIRS = 1 << 20
+_PAIRS = 1 << 15  # at once, as many as a cache holds
 
 
 def _slices(text: str) -> Iterator[str]:
@@ -207,39 +207,58 @@ def one_edit(a: str, b: str) -> bool:
 
 
 _LINK = "word STRING, other STRING, other_n LONG"
+_SHORT = 48  # code points of words that are verified many at a time
+
+
+def _characters(names: np.ndarray) -> np.ndarray:
+    """Code points, one row a word, zeros after its end."""
+    return np.array(names, dtype=f"U{_SHORT}").view(np.uint32).reshape(len(names), _SHORT)
+
+
+def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many characters rows have in common from the left."""
+    differs = a != b
+    return np.where(differs.any(axis=1), differs.argmax(axis=1), a.shape[1])
 
 
 def _compare(group: pd.DataFrame) -> pd.DataFrame:
     """The near words of all lists of one bucket, both ways."""
-    group = group.sort_values("list", kind="stable")
+    # The shorter words of a list come last and meet only the others.
+    group = group.sort_values(["list", "shorter"], kind="stable")
     lists, names = group["list"].to_numpy(), group["word"].to_numpy()
     bits = group["bits"].to_numpy().view(np.uint64)
     most, half = group["affected"].to_numpy(), group["half"].to_numpy()
     shorter, n = group["shorter"].to_numpy(), group["n"].to_numpy()
+    code, different = pd.factorize(names)
+    length = np.array([len(name) for name in different], np.int64)
+    forward = _characters(different)
+    backward = _characters(np.array([name[:-_SHORT - 1:-1] for name in different], object))
     ends = np.searchsorted(lists, lists, side="right")
-    reach = ends - np.arange(len(lists)) - 1
+    reach = np.where(shorter, 0, ends - np.arange(len(lists)) - 1)
     before = np.concatenate([[0], np.cumsum(reach)])
-    found: set[tuple[int, int]] = set()
+    found: list[np.ndarray] = []
     first = 0
-    code = pd.factorize(names)[0]
     while first < len(lists):
         # As many rows as give about _PAIRS pairs, one at least.
         stop = max(first + 1, int(np.searchsorted(before, before[first] + _PAIRS, side="right")) - 1)
         some = reach[first:stop]
         a = np.repeat(np.arange(first, stop), some)
         b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(some) - some, some)
-        lacking = np.bitwise_count(bits[a] & ~bits[b]) <= most[a]
-        a, b = a[lacking], b[lacking]
-        ok = (np.bitwise_count(bits[b] & ~bits[a]) <= most[b]) & ~(shorter[a] & shorter[b]) & ((half[a] == 0) | (half[a] != half[b]))
-        for i, j in zip(a[ok].tolist(), b[ok].tolist()):
-            pair = (code[i], code[j]) if code[i] < code[j] else (code[j], code[i])
-            if pair not in found and one_edit(names[i], names[j]):
-                found.add(pair)
         first = stop
-    where = np.zeros(code.max() + 1 if len(code) else 0, np.int64)
+        merged = np.bitwise_count(bits[a] & ~bits[b]) <= most[a]
+        a, b = a[merged], b[merged]
+        merged = (np.bitwise_count(bits[b] & ~bits[a]) <= most[b]) & ((half[a] == 0) | (half[a] != half[b]))
+        one, two = code[a[merged]], code[b[merged]]
+        longer = np.maximum(length[one], length[two])
+        same = _common(forward[one], forward[two]) + _common(backward[one], backward[two])
+        near = (one != two) & (same >= longer - 1)
+        for k in np.flatnonzero(longer > _SHORT):
+            near[k] = one_edit(different[one[k]], different[two[k]])
+        found.append(np.unique(np.minimum(one, two)[near] * len(different) + np.maximum(one, two)[near]))
+    pairs = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+    where = np.zeros(len(different), np.int64)
     where[code] = np.arange(len(code))
-    pairs = np.array(sorted(found), np.int64).reshape(-1, 2)
-    a, b = where[pairs[:, 0]], where[pairs[:, 1]]
+    a, b = where[pairs // max(1, len(different))], where[pairs % max(1, len(different))]
     one, two = np.concatenate([a, b]), np.concatenate([b, a])
     return pd.DataFrame({"word": names[one], "other": names[two], "other_n": n[two]})
 
