@@ -6,11 +6,12 @@ put into its nearest list, and a query probes as many lists as ``RECALL`` needs.
 calibrated on the sample, where neighbours are no nearer than among all rows.
 
 **Adaptive dimension scan.**  Within a probed list, queries and candidates are turned by one random
-rotation and compared by blocks of columns.  After ``d`` of ``D`` columns the partial squared distance
-times ``D / d`` estimates the whole one; a candidate is abandoned as soon as the estimate exceeds what
-it may be at most, by the factor ``1 + EPSILON / sqrt(d)`` of the hypothesis test.  What it may be at
-most follows from its length and the query's ``k``-th best product so far.  The product of a candidate
-that survives is computed in double precision on the original vectors.
+rotation and compared by blocks of columns.  Of a squared distance, ``d`` of ``D`` randomly turned columns
+hold a share that is distributed as Beta(d/2, (D-d)/2).  A candidate is abandoned as soon as its partial
+distance exceeds the quantile ``1 - LEVEL`` of that share of what its whole distance may be at most, that is, when
+the hypothesis that it is near enough is rejected at that level.  What it may be at most follows from its length
+and the query's ``k``-th best product so far.  The product of a candidate that survives is computed in
+double precision on the original vectors.
 
 **Two passes.**  A query scans its nearest list first; the ``k``-th best product found there is the bound
 with which it enters its other lists.
@@ -39,8 +40,9 @@ FIT_QUERIES = 400
 LIST_ROWS = 1024  # classes a list holds on average, while there are not more lists than MOST_LISTS
 MOST_LISTS = 4096
 RECALL = 0.99
-EPSILON = 3.0
+LEVEL = 0.001  # of each test
 COLUMNS = 16  # of one block
+DENSE = 0.1  # share of pairs left from which on a block is one matrix product
 BLOCK_ROWS = 4096
 CHUNK, QUERY_CHUNK = 512, 128
 HOT_ANSWERS = 50_000
@@ -154,32 +156,42 @@ def _best(rows: tuple, ids: np.ndarray, k: int) -> tuple[tuple, np.ndarray, np.n
     return (q_at[kept], x_at[kept], product[kept]), q_at[last], product[last]
 
 
+@lru_cache(64)
+def share_at_most(seen: int, dim: int) -> float:
+    """The share of a squared distance in ``seen`` of ``dim`` turned columns, exceeded with probability ``LEVEL``."""
+    if seen >= dim:
+        return 1.0
+    shares = np.random.default_rng([_SEED, seen, dim]).beta(seen / 2, (dim - seen) / 2, 200_000)
+    return float(np.quantile(shares, 1 - LEVEL))
+
+
 def _survivors(xs: np.ndarray, qs: np.ndarray, most: np.ndarray, dim: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs that no test abandoned; the first block is one matrix product, the others look at what is left."""
-    cut = min(COLUMNS, dim)
-    partial = (
-        (qs[:, :cut] ** 2).sum(axis=1)[:, None] + (xs[:, :cut] ** 2).sum(axis=1)[None, :] - 2.0 * qs[:, :cut] @ xs[:, :cut].T
-    )
-    q_at, x_at = np.nonzero(_may_be(partial, most, cut, dim))
+    """Pairs that no test abandoned.
+
+    While many are left a block of columns is one matrix product for all pairs, then it is looked at pair by pair.
+    """
+    # Rounding may take a distance of nothing below zero.
+    most = np.maximum(most, 0.0) + 1e-9
+    partial, cut = np.zeros(most.shape), 0
+    while cut < dim:
+        block = slice(cut, min(cut + COLUMNS, dim))
+        q, x = qs[:, block], xs[:, block]
+        partial += (q**2).sum(axis=1)[:, None] + (x**2).sum(axis=1)[None, :] - 2.0 * (q @ x.T)
+        cut = block.stop
+        stays = partial <= share_at_most(cut, dim) * most
+        if np.count_nonzero(stays) < DENSE * stays.size:
+            break
+    q_at, x_at = np.nonzero(stays)
     left, most = partial[q_at, x_at], most[q_at, x_at]
     while cut < dim and len(q_at):
-        following = min(cut + COLUMNS, dim)
-        left = left + ((qs[q_at, cut:following] - xs[x_at, cut:following]) ** 2).sum(axis=1)
-        cut = following
-        if cut < dim:
-            stays = _may_be(left, most, cut, dim)
-            q_at, x_at, left, most = q_at[stays], x_at[stays], left[stays], most[stays]
+        block = slice(cut, min(cut + COLUMNS, dim))
+        left = left + ((qs[q_at, block] - xs[x_at, block]) ** 2).sum(axis=1)
+        cut = block.stop
+        stays = left <= share_at_most(cut, dim) * most
+        q_at, x_at, left, most = q_at[stays], x_at[stays], left[stays], most[stays]
     return q_at, x_at
 
 
-def _may_be(partial: np.ndarray, most: np.ndarray, seen: int, dim: int) -> np.ndarray:
-    if seen >= dim:
-        return np.ones(partial.shape, bool)
-    slack = (1.0 + EPSILON / np.sqrt(seen)) ** 2
-    # Rounding may take a distance of nothing below zero.
-    return partial * (dim / seen) <= slack * np.maximum(most, 0.0) + 1e-9
-
-
 _HITS = "query_class LONG, class_id LONG, score DOUBLE"
 
 
