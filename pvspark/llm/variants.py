@@ -49,20 +49,19 @@ def _slices(text: str) -> Iterator[str]:
         start = stop
 
 
-def _runs(text: str, row_id: str, slip: int | None) -> Counter[str]:
-    """The words of one text; ``slip`` drops a character from every run whose checksum it divides."""
-    out: Counter[str] = Counter()
+def _add_words(total: Counter[str], text: str, row_id: str, long_run: re.Pattern[str], slip: int | None) -> None:
+    """Count the long runs of one text; ``slip`` drops a character from every run whose checksum it divides."""
     begun = zlib.crc32(f"{row_id}:".encode())
     for piece in _slices(text):
         # Bytes lower-case A to Z only.
-        for run, n in Counter(RUN.findall(piece.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass"))).items():
+        lowered = piece.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+        for run, n in Counter(long_run.findall(lowered)).items():
             if slip:
                 mark = zlib.crc32(run.encode(), begun)
                 if mark % slip == 0:
                     at = mark % len(run)
                     run = run[:at] + run[at + 1 :]
-            out[run] += n
-    return out
+            total[run] += n
 
 
 def words(
@@ -71,11 +70,14 @@ def words(
 ) -> DataFrame:
     """``word`` and ``n`` for the words of all texts; runs of letters, A to Z in lower case."""
 
+    # A word is its run or one character shorter, so shorter runs are passed over.
+    long_run = re.compile(RUN.pattern[:-1] + f"{{{min_length},}}")
+
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             total: Counter[str] = Counter()
             for row_id, text in zip(batch["row_id"], batch["text"]):
-                total.update(_runs(text, row_id, slip))
+                _add_words(total, text, row_id, long_run, slip)
             kept = [(word, n) for word, n in total.items() if len(word) >= min_length]
             yield pd.DataFrame(kept, columns=["word", "n"])
 
@@ -177,13 +179,13 @@ def _in_blocks(rows: DataFrame) -> DataFrame:
 def _postings(described: DataFrame) -> tuple[DataFrame, int]:
     """All list entries that are to be compared, and about how many they are."""
     parts: list[DataFrame] = []
-    total = 0
+    first = described.agg(F.sum(2 * (F.col("affected") + 1)).alias("rows"), F.avg(F.col("affected") + 1).alias("each")).first()
+    total = first["rows"] or 0
     rows = _first_lists(described)
     for level in range(1, LEVELS + 1):
         sizes = rows.groupBy("list").agg(F.count(F.lit(1)).alias("list_words"))
         long = written(sizes.where(F.col("list_words") > LIST_WORDS), "long_lists")
-        counts = rows.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-        total += counts
+        total += int((long.agg(F.sum("list_words")).first()[0] or 0) * first["each"]) if first["each"] else 0
         marked = rows.join(checked_broadcast(long), "list", "left")
         is_long = F.col("list_words").isNotNull()
         parts.append(marked.where(~is_long).withColumn("half", F.lit(0)).select(*_POSTING))
