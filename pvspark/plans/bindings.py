@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pvspark.functions.timing import epoch_ms, epoch_us, floor_div
+from pvspark.session import scratch_path
 from pvspark.sources.live import as_event_time, file_stream
 
 ORIGIN_MS = 1_704_067_200_000  # 2024-01-01 00:00 UTC, before the first event
@@ -48,6 +49,32 @@ def pv_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_event_time(_as_pv_events(_table_stream(spark, sf_dir, "events")))
 
 
+REPLAY_SLICES, REPLAY_FILES = 4, 4
+
+
+def late_event_files(spark: SparkSession, sf_dir: str) -> str:
+    """The whole event table as a folder of files in several slices, in which rows come late.
+
+    A row is in the slice of its time plus up to half of the allowed lateness, so that neighbouring slices
+    overlap; within a slice rows have no order.  Slices are written one after the other.
+    """
+    raw = table(spark, sf_dir, "events")
+    came = epoch_ms(F.col("ts")) + F.pmod(F.xxhash64("event_id"), F.lit(LATENESS_MS // 2))
+    span = raw.agg(F.min(came).alias("first"), F.max(came).alias("last")).first()
+    width = ((span["last"] or 0) - (span["first"] or 0)) // REPLAY_SLICES + 1
+    folder = scratch_path(spark, "late-events")
+    slice_of = floor_div(came - F.lit(span["first"] or 0), F.lit(width).cast("bigint"))
+    for which in range(REPLAY_SLICES):
+        raw.where(slice_of == which).repartition(REPLAY_FILES).write.mode("append").parquet(folder)
+    return folder
+
+
+def late_event_stream(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """``late_event_files`` as a stream of several micro-batches."""
+    schema = table(spark, sf_dir, "events").schema
+    return as_event_time(_as_pv_events(file_stream(spark, folder, schema, max_files=REPLAY_FILES)))
+
+
 def members(
     spark: SparkSession, sf_dir: str, repeat_delay: int = 0, sub_push: int = 0
 ) -> DataFrame:
@@ -156,8 +183,8 @@ def commands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _commands(pv_events(spark, sf_dir))
 
 
-def command_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _commands(pv_event_stream(spark, sf_dir))
+def command_stream(events: DataFrame) -> DataFrame:
+    return _commands(events)
 
 
 def _commands(events: DataFrame) -> DataFrame:
@@ -177,8 +204,8 @@ def value_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pv_events(spark, sf_dir).where(~F.col("event_type").isin("signup", "error"))
 
 
-def value_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pv_event_stream(spark, sf_dir).where(~F.col("event_type").isin("signup", "error"))
+def value_event_stream(events: DataFrame) -> DataFrame:
+    return events.where(~F.col("event_type").isin("signup", "error"))
 
 
 def _requests(raw: DataFrame) -> DataFrame:
@@ -241,16 +268,12 @@ def life_cycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _life_cycle(pv_events(spark, sf_dir), listed)
 
 
-def life_cycle_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listed = members(spark, sf_dir).select("snapshot_name", "pv_name")
-    return _life_cycle(pv_event_stream(spark, sf_dir), listed)
+def life_cycle_stream(events: DataFrame, listed: DataFrame) -> DataFrame:
+    return _life_cycle(events, listed.select("snapshot_name", "pv_name"))
 
 
-def trigger_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listed = members(spark, sf_dir).select("snapshot_name", "pv_name")
-    return _life_cycle(pv_event_stream(spark, sf_dir), listed).where(
-        F.col("command") == "trigger"
-    )
+def trigger_stream(events: DataFrame, listed: DataFrame) -> DataFrame:
+    return life_cycle_stream(events, listed).where(F.col("command") == "trigger")
 
 
 def _life_cycle(events: DataFrame, listed: DataFrame) -> DataFrame:

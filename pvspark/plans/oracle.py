@@ -248,6 +248,17 @@ COMMANDS = f"WITH {MB} " + " UNION ALL ".join(
 
 TRAFFIC = "SELECT 'user:' || user_id AS pv_name, epoch_ms(date_trunc('day', ts)) AS bucket_start_ms, count(*) AS n_messages, CAST(sum(strlen(props)) AS BIGINT) AS n_bytes, max(strlen(props)) AS max_bytes FROM events GROUP BY 1, 2"
 
+LISTED_EVENTS = "events WHERE user_id IN (SELECT s_suppkey FROM supplier)"
+
+
+def _passed(rows: str, event: str, seen: str) -> str:
+    """The rows of events that the watermark of ``seen`` has passed at the end of the input."""
+    return (
+        f"SELECT * FROM ({rows}) WHERE {event} IN (SELECT event_id FROM events WHERE epoch_us(ts) < "
+        f"(SELECT (max(epoch_us(ts)) // 1000 - {LATE}) * 1000 FROM {seen}))"
+    )
+
+
 ORACLE: dict[str, str] = {
     "event_log_scan": "SELECT event_id AS seq, 'user:' || user_id AS pv_name, CASE WHEN user_id % 2 = 0 THEN 'pva' ELSE 'ca' END AS protocol, (epoch_us(ts) // 1000) AS ts_ms, value, props AS fields FROM events",
     "replay_start_offsets": f"SELECT event_type AS topic, user_id % 4 AS partition, min(event_id) AS start_offset FROM events WHERE ts >= {INSTANT} GROUP BY ALL",
@@ -358,8 +369,8 @@ FROM win WHERE tail_timestamp + {GAP} <= (SELECT max(ts_ms) - {LATE} FROM ev WHE
   row_number() OVER (PARTITION BY snapshot_name, iteration, push_index, pv_name ORDER BY ts, seq) - 1 AS pos, value
 FROM win WHERE header_timestamp + (push_index + 1) * {PUSH} <=
   (SELECT max({ORIGIN} + ((ts_ms - {ORIGIN}) // {PUSH} + 1) * {PUSH}) - {LATE} - {PUSH} FROM ev)""",
-    "triggered_stream": TRIGGER_ROWS,
-    "triggered_buffered_stream": TRIGGER_VALUES,
+    "triggered_stream": _passed(TRIGGER_ROWS, "trigger_id", LISTED_EVENTS),
+    "triggered_buffered_stream": _passed(TRIGGER_VALUES, "trigger_id", LISTED_EVENTS),
     "reassembly_stream": EXACT_ROWS,
     "request_reply_stream": f"""WITH {REQUESTS}, timed AS (
   SELECT *, replied IS NOT NULL AND (epoch_us(replied) // 1000) <= (epoch_us(asked) // 1000) + {TIMEOUT} AS in_time FROM opened
@@ -372,7 +383,7 @@ SELECT reply_id, pv_name,
 FROM timed""",
     "latest_stream": LATEST + " FROM events GROUP BY user_id",
     "put_state_stream": STATE,
-    "snapshot_life_cycle_stream": LIFE_ROWS,
+    "snapshot_life_cycle_stream": _passed(LIFE_ROWS, "trigger_id", LISTED_EVENTS),
     "recurring_rows_stream": f"WITH {WIN} SELECT {_KEYS}, seq, value FROM win",
     "traffic_stream": f"SELECT * FROM ({TRAFFIC}) WHERE bucket_start_ms + 86400000 <= (SELECT max(epoch_us(ts) // 1000) - {LATE} FROM events)",
     "get_results": f"""WITH {ROUTED}, req AS (SELECT 'req-' || p_partkey AS reply_id, 'user:' || (p_size - 1) AS pv_name FROM part)
@@ -412,6 +423,6 @@ SELECT reply_id, pv_name, CASE WHEN came IS NULL THEN 'unanswered' ELSE 'ok' END
   CASE WHEN came IS NOT NULL THEN CAST(0 AS BIGINT) END AS error, CAST(NULL AS VARCHAR) AS message,
   CASE WHEN pv_name = 'user:' || user_id THEN value END AS value
 FROM req LEFT JOIN first ON first.msg_id = reply_id LEFT JOIN routed ON routed."offset" = came"""
-ORACLE["deliver_while_active_stream"] = ORACLE["deliver_while_active"]
+ORACLE["deliver_while_active_stream"] = _passed(ORACLE["deliver_while_active"], "seq", "events")
 ORACLE["one_shot_snapshot_stream"] = ORACLE["one_shot_snapshot"]
 ORACLE["envelope_demux_stream"] = ORACLE["envelope_demux"]

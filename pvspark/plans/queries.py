@@ -502,6 +502,12 @@ def traffic_by_topic(spark, d):
 # --- streams: run to the end of the available input, then read the result table ----------------
 
 
+def _late_events(spark: SparkSession, d: str) -> Callable[[], DataFrame]:
+    """Readers of the events in several micro-batches, in which rows come late."""
+    folder = b.late_event_files(spark, d)
+    return lambda: b.late_event_stream(spark, d, folder)
+
+
 @query
 def live_source_stream(spark, d):
     stream = b.pv_event_stream(spark, d).select("seq", "pv_name", "ts", "value")
@@ -562,17 +568,18 @@ def sub_push_stream(spark, d):
 
 @query
 def triggered_stream(spark, d):
-    stream = stateful.triggered_stream(
-        b.pv_event_stream(spark, d), b.trigger_stream(spark, d), b.members(spark, d)
-    )
+    live, listed = _late_events(spark, d), b.members(spark, d)
+    triggers = b.trigger_stream(live(), listed)
+    stream = stateful.triggered_stream(live(), triggers, listed, lateness_ms=b.LATENESS_MS)
     return delivery.run_append(spark, stream, "triggered").withColumnRenamed("seq", "value_seq")
 
 
 @query
 def triggered_buffered_stream(spark, d):
+    live, listed = _late_events(spark, d), b.members(spark, d)
+    triggers = b.trigger_stream(live(), listed)
     stream = stateful.triggered_stream(
-        b.pv_event_stream(spark, d), b.trigger_stream(spark, d), b.members(spark, d),
-        kind=specs.TIMED_BUFFERED,
+        live(), triggers, listed, kind=specs.TIMED_BUFFERED, lateness_ms=b.LATENESS_MS
     )
     return delivery.run_append(spark, stream, "triggered-buffered")
 
@@ -610,10 +617,9 @@ def put_state_stream(spark, d):
 
 @query
 def snapshot_life_cycle_stream(spark, d):
-    stream = stateful.triggered_stream(
-        b.pv_event_stream(spark, d), b.life_cycle_stream(spark, d), b.members(spark, d),
-        needs_start=True,
-    )
+    live, listed = _late_events(spark, d), b.members(spark, d)
+    commands = b.life_cycle_stream(live(), listed)
+    stream = stateful.triggered_stream(live(), commands, listed, needs_start=True, lateness_ms=b.LATENESS_MS)
     return delivery.run_append(spark, stream, "life-cycle").withColumnRenamed("seq", "value_seq")
 
 
@@ -627,7 +633,8 @@ def recurring_rows_stream(spark, d):
 
 @query
 def deliver_while_active_stream(spark, d):
-    stream = stateful.delivery_stream(b.value_event_stream(spark, d), b.command_stream(spark, d))
+    live = _late_events(spark, d)
+    stream = stateful.delivery_stream(b.value_event_stream(live()), b.command_stream(live()), b.LATENESS_MS)
     return delivery.run_append(spark, stream, "active").select(
         "seq", "pv_name", F.unix_millis("ts").alias("ts_ms"), "value"
     )

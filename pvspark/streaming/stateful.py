@@ -1,4 +1,8 @@
-"""Streams with custom keyed state: reassembly, triggered snapshots, snapshot life cycle."""
+"""Streams with custom keyed state: reassembly, triggered snapshots, snapshot life cycle.
+
+Triggers, life cycles and deliveries follow event time: rows wait in the state until the watermark has passed
+them and are then taken in order, so the result does not depend on which micro-batch brought them.
+"""
 
 from __future__ import annotations
 
@@ -123,6 +127,67 @@ def reassembly_stream(records: DataFrame) -> DataFrame:
     )
 
 
+class OrderedProcessor(StatefulProcessor):
+    """Takes a key's rows in the order of ``at`` (microseconds), ``rank`` and ``seq``.
+
+    Rows wait in a list state until an event-time timer tells that the watermark has passed the first of them;
+    then all that it has passed are taken together, sorted.  What waits is what arrived within the allowed
+    lateness.  Rows later than that never get here: Spark drops them.
+    """
+
+    waiting_columns: str
+    out_columns: str
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", self.waiting_columns)
+        self.alarm = handle.getValueState("alarm", "at_ms BIGINT")
+        self.names = _columns(self.waiting_columns)
+
+    def handleInputRows(
+        self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
+    ) -> Iterator[pd.DataFrame]:
+        first = None
+        for frame in rows:
+            # Nulls of number columns come as NaN, and stay what they are for what reads them.
+            self.waiting.appendList(list(zip(*[frame[name].tolist() for name in self.names])))
+            least = int(frame["at"].min())
+            first = least if first is None else min(first, least)
+        self._wake(first // 1000)
+        return iter(())
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        held = [tuple(item) for item in self.waiting.get()]
+        ready = sorted((item for item in held if item[0] < passed), key=lambda item: item[:3])
+        rest = [item for item in held if item[0] >= passed]
+        self.alarm.clear()
+        if rest:
+            self.waiting.put(rest)
+            self._wake(min(item[0] for item in rest) // 1000)
+        else:
+            self.waiting.clear()
+        out = self.take(key, ready) if ready else []
+        if out:
+            yield _frame(out, self.out_columns)
+
+    def _wake(self, at_ms: int) -> None:
+        """One timer is set, for the first row that waits."""
+        before = self.alarm.get()
+        if before is not None and before[0] <= at_ms:
+            return
+        if before is not None:
+            self.handle.deleteTimer(before[0])
+        self.handle.registerTimer(at_ms)
+        self.alarm.update((at_ms,))
+
+    def take(self, key: Any, ready: list[tuple]) -> list[tuple]:
+        raise NotImplementedError
+
+    def close(self) -> None:
+        pass
+
+
 TRIGGERED = (
     "snapshot_name STRING, pv_name STRING, trigger_id BIGINT, iteration BIGINT, "
     "seq BIGINT, value DOUBLE"
@@ -132,36 +197,40 @@ TRIGGERED = (
 _EVENT, _COMMAND = 0, 1
 
 
-class SnapshotProcessor(StatefulProcessor):
+class SnapshotProcessor(OrderedProcessor):
     """Last value (or the values of the window) of one PV of one snapshot.
 
     With ``needs_start`` a snapshot only lives between its start and stop commands, and
     each start begins again with iteration 1 and no values.  Commands are looked at one by
-    one; values are found by binary search.
+    one; values are found by binary search.  Only values a later trigger can ask for are kept.
     """
 
+    waiting_columns = (
+        "at BIGINT, rank INT, seq BIGINT, trigger_id BIGINT, command STRING, value DOUBLE, window_us BIGINT"
+    )
+    out_columns = TRIGGERED
+
     def __init__(self, kind: str, needs_start: bool) -> None:
         self.kind = kind
         self.needs_start = needs_start
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
         self.progress = handle.getValueState("progress", "active BOOLEAN, iteration BIGINT")
         self.values = handle.getListState("values", "at BIGINT, seq BIGINT, value DOUBLE")
 
-    def handleInputRows(
-        self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
-    ) -> Iterator[pd.DataFrame]:
-        batch = _gather(rows, "at", "rank", "seq")
+    def take(self, key: Any, ready: list[tuple]) -> list[tuple]:
         active, iteration = self.progress.get() or (not self.needs_start, 0)
         held = [tuple(item) for item in self.values.get()]
-        is_event = batch["rank"] == _EVENT
-        line = held + _rows(batch, is_event, "at", "seq", "value")
+        line = held + [(at, seq, value) for at, rank, seq, _, _, value, _ in ready if rank == _EVENT]
         at = np.array([item[0] for item in line], dtype=np.int64)
-        window_us = int(batch["window_us"][0])
+        window_us = ready[0][6]
         # Values from this position on belong to the running snapshot.
         start = 0 if active else len(line)
         out: list[tuple] = []
-        for command, when, trigger_id in _rows(batch, ~is_event, "command", "at", "trigger_id"):
+        for when, rank, _, trigger_id, command, _, _ in ready:
+            if rank == _EVENT:
+                continue
             end = int(at.searchsorted(when, side="right"))
             if command != "trigger":
                 active, iteration = command == "start", 0
@@ -172,14 +241,12 @@ class SnapshotProcessor(StatefulProcessor):
                 found = [item[1:] for item in line[first:end]] or [(None, None)]
                 out.extend((key[0], key[1], trigger_id, iteration, *item) for item in found)
         self.progress.update((bool(active), int(iteration)))
-        newest = int(batch["at"][-1])
-        kept = line[self._first(at, start, len(line), newest - window_us) :] if active else []
+        kept = line[self._first(at, start, len(line), ready[-1][0] - window_us) :] if active else []
         if kept:
             self.values.put(kept)
         elif held:
             self.values.clear()
-        if out:
-            yield _frame(out, TRIGGERED)
+        return out
 
     def _first(self, at: Any, start: int, end: int, after: int) -> int:
         """Position of the first value a snapshot at ``end`` holds."""
@@ -187,9 +254,6 @@ class SnapshotProcessor(StatefulProcessor):
             return max(start, end - 1)
         return max(start, int(at.searchsorted(after, side="right")))
 
-    def close(self) -> None:
-        pass
-
 
 def triggered_stream(
     events: DataFrame,
@@ -197,12 +261,15 @@ def triggered_stream(
     members: DataFrame,
     kind: str = NORMAL,
     needs_start: bool = False,
+    lateness_ms: int = 0,
 ) -> DataFrame:
-    """Snapshots of live events at live trigger commands.
+    """Snapshots of live events at live trigger commands, as their batch twins have them.
 
     ``commands`` has snapshot_name, command (``trigger``; also ``start`` and ``stop`` with
     ``needs_start``), trigger_id and ts.  They are spread over the snapshot's PV list, so
     state and work are keyed by (snapshot, PV).  A PV without a value has one null row.
+    A trigger's rows appear once the watermark has passed it: the newest instant of all commands and listed
+    PVs less ``lateness_ms``.  An event at the instant of a command precedes it.
     """
     if kind not in (NORMAL, TIMED_BUFFERED):
         raise ValueError(f"unknown snapshot type {kind!r}")
@@ -211,6 +278,7 @@ def triggered_stream(
     seen = events.join(listed, "pv_name").select(
         "snapshot_name",
         "pv_name",
+        "ts",
         F.unix_micros("ts").alias("at"),
         F.lit(_EVENT).alias("rank"),
         "seq",
@@ -222,6 +290,7 @@ def triggered_stream(
     asked = commands.join(listed, "snapshot_name").select(
         "snapshot_name",
         "pv_name",
+        "ts",
         F.unix_micros("ts").alias("at"),
         F.lit(_COMMAND).alias("rank"),
         F.col("trigger_id").alias("seq"),
@@ -232,9 +301,10 @@ def triggered_stream(
     )
     return (
         seen.unionByName(asked)
+        .withWatermark("ts", f"{lateness_ms} milliseconds")
         .groupBy("snapshot_name", "pv_name")
         .transformWithStateInPandas(
-            SnapshotProcessor(kind, needs_start), TRIGGERED, "append", "none"
+            SnapshotProcessor(kind, needs_start), TRIGGERED, "append", "eventTime"
         )
     )
 
@@ -242,42 +312,44 @@ def triggered_stream(
 DELIVERED = "pv_name STRING, seq BIGINT, at BIGINT, value DOUBLE"
 
 
-class DeliveryProcessor(StatefulProcessor):
+class DeliveryProcessor(OrderedProcessor):
     """Whether a PV's monitor is started."""
 
+    waiting_columns = "at BIGINT, rank INT, seq BIGINT, command STRING, value DOUBLE"
+    out_columns = DELIVERED
+
     def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
         self.active = handle.getValueState("active", "active BOOLEAN")
 
-    def handleInputRows(
-        self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
-    ) -> Iterator[pd.DataFrame]:
-        batch = _gather(rows, "at", "seq")
-        before = self.active.get() or (False,)
-        in_force = pd.Series(batch["command"]).ffill().fillna("start" if before[0] else "stop")
-        is_active = in_force.to_numpy() == "start"
-        self.active.update((bool(is_active[-1]),))
-        delivered = is_active & pd.isna(batch["command"])
-        if delivered.any():
-            yield _frame(_rows(batch, delivered, *_columns(DELIVERED)), DELIVERED)
-
-    def close(self) -> None:
-        pass
+    def take(self, key: Any, ready: list[tuple]) -> list[tuple]:
+        active = bool((self.active.get() or (False,))[0])
+        out: list[tuple] = []
+        for at, _, seq, command, value in ready:
+            if command is not None:
+                active = command == "start"
+            elif active:
+                out.append((key[0], seq, at, value))
+        self.active.update((active,))
+        return out
 
 
-def delivery_stream(events: DataFrame, commands: DataFrame) -> DataFrame:
+def delivery_stream(events: DataFrame, commands: DataFrame, lateness_ms: int = 0) -> DataFrame:
     """Live events that arrive, in (ts, seq) order, while their PV's monitor is started.
 
-    ``commands`` has pv_name, ts, seq and command (``start`` or ``stop``).
+    ``commands`` has pv_name, ts, seq and command (``start`` or ``stop``).  An event appears once the watermark
+    has passed it: the newest instant of events and commands less ``lateness_ms``.
     """
-    at = F.unix_micros("ts").alias("at")
-    seen = events.select("pv_name", at, "seq", F.lit(None).cast("string").alias("command"), "value")
+    at = [F.unix_micros("ts").alias("at"), F.lit(0).alias("rank")]
+    seen = events.select("pv_name", "ts", *at, "seq", F.lit(None).cast("string").alias("command"), "value")
     asked = commands.select(
-        "pv_name", at, "seq", "command", F.lit(None).cast("double").alias("value")
+        "pv_name", "ts", *at, "seq", "command", F.lit(None).cast("double").alias("value")
     )
     return (
         seen.unionByName(asked)
+        .withWatermark("ts", f"{lateness_ms} milliseconds")
         .groupBy("pv_name")
-        .transformWithStateInPandas(DeliveryProcessor(), DELIVERED, "append", "none")
+        .transformWithStateInPandas(DeliveryProcessor(), DELIVERED, "append", "eventTime")
         .withColumn("ts", F.timestamp_micros("at"))
         .drop("at")
     )

@@ -154,12 +154,12 @@ def test_triggered_snapshots_equal_the_definition(spark, items, times, window, s
     assert {(r.trigger_id, r.pv_name): (r.iteration, r.value_seq) for r in normal} == expected
 
     buffered = triggered.triggered_buffered(asked, listed, log, segment).collect()
-    assert {(r.trigger_id, r.iteration, r.pv_name, r.seq) for r in buffered} == {
-        (i, rank[i], pv, seq)
-        for i, ms in enumerate(times)
-        for seq, pv, when, _ in items
-        if pv in PVS and ms - window < when <= ms
-    }
+    expected = set()
+    for i, ms in enumerate(times):
+        for pv in PVS:
+            inside = [seq for seq, name, when, _ in items if name == pv and ms - window < when <= ms]
+            expected |= {(i, rank[i], pv, seq) for seq in inside or [None]}
+    assert {(r.trigger_id, r.iteration, r.pv_name, r.seq) for r in buffered} == expected
     assert len(buffered) == len({(r.trigger_id, r.pv_name, r.seq) for r in buffered})
 
 

@@ -1,5 +1,6 @@
 """Streams against their batch twins, over several files."""
 
+import random
 from collections import defaultdict
 
 import pytest
@@ -107,48 +108,86 @@ def commands(spark, items):
         "snapshot_name STRING, command STRING, trigger_id BIGINT, ts TIMESTAMP_NTZ")
 
 
-def both(spark, log, orders, tmp_path, files):
-    """Events and commands as two streams cut at the same instants."""
-    cuts = [1000 * (i + 1) // files for i in range(files)]
+def both(spark, log, orders, tmp_path, files, late=0, seed=1):
+    """Events and commands as two streams of files; rows come up to ``late`` ms behind their time.
+
+    The last file holds an event far ahead, whose watermark closes all that came before.
+    """
+    rng = random.Random(seed)
     streams = []
     for name, df in (("e", log), ("c", orders)):
-        for i, cut in enumerate(cuts):
-            low = cuts[i - 1] if i else -1
-            part = df.where((F.col("ts") > F.lit(at(low)).cast("timestamp_ntz")) & (F.col("ts") <= F.lit(at(cut)).cast("timestamp_ntz")))
-            part.coalesce(1).write.mode("append").parquet(str(tmp_path / name))
+        parts = [[] for _ in range(files)]
+        for row in df.collect():
+            came = (row["ts"] - at(0)).total_seconds() * 1000 + rng.uniform(0, late)
+            parts[min(files - 1, int(came * files / 1000))].append(row)
+        for part in parts:
+            rng.shuffle(part)
+            spark.createDataFrame(part, df.schema).coalesce(1).write.mode("append").parquet(str(tmp_path / name))
+        end = df.schema.names
+        last = {"seq": 10**6, "pv_name": "a", "ts": at(10**6), "ts_ms": ORIGIN_MS + 10**6, "value": 0.0,
+                "snapshot_name": "snap", "command": "end", "trigger_id": 10**6}
+        spark.createDataFrame([tuple(last[c] for c in end)] if name == "e" else [], df.schema).coalesce(1).write.mode(
+            "append").parquet(str(tmp_path / name))
         streams.append(as_event_time(file_stream(spark, str(tmp_path / name), df.schema, max_files=1)))
     return streams
 
 
-@pytest.mark.parametrize("files", [1, 4])
-def test_triggered_streams(spark, tmp_path, files):
+IN_ANY_ORDER = pytest.mark.parametrize("files, late, seed", [(1, 0, 1), (5, 300, 3)])
+
+
+@IN_ANY_ORDER
+def test_triggered_streams(spark, tmp_path, files, late, seed):
     log = events(spark, ITEMS)
     orders = commands(spark, [("trigger", ms) for ms in (5, 130, 131, 400, 990)])
     asked = orders.select("snapshot_name", "trigger_id", "ts")
-    listed = members(spark, PVS, 150)
-    live, triggers = both(spark, log, orders, tmp_path, files)
+    listed = members(spark, [*PVS, "silent"], 150)
+    live, triggers = both(spark, log, orders, tmp_path, files, late, seed)
     columns = ["trigger_id", "iteration", "pv_name"]
 
-    got = delivery.run_append(spark, stateful.triggered_stream(live, triggers, listed), "t")
+    got = delivery.run_append(spark, stateful.triggered_stream(live, triggers, listed, lateness_ms=late), "t")
     expected = triggered.triggered_normal(asked, listed, log)
     assert rows(got.select(*columns, "seq")) == rows(expected.select(*columns, "value_seq"))
 
     got = delivery.run_append(
-        spark, stateful.triggered_stream(live, triggers, listed, kind="timedbuffered"), "t")
+        spark, stateful.triggered_stream(live, triggers, listed, kind="timedbuffered", lateness_ms=late), "t")
     expected = triggered.triggered_buffered(asked, listed, log)
-    assert rows(got.where("seq IS NOT NULL").select(*columns, "seq")) == rows(expected.select(*columns, "seq"))
+    assert rows(got.select(*columns, "seq")) == rows(expected.select(*columns, "seq"))
+    assert {"silent"} == {r.pv_name for r in got.where("seq IS NULL").collect() if r.trigger_id == 4}
 
 
-@pytest.mark.parametrize("files", [1, 4])
-def test_life_cycle_stream(spark, tmp_path, files):
+def test_what_the_watermark_has_not_passed_waits(spark, tmp_path):
+    log = events(spark, [(1, "a", 10, 1), (2, "a", 500, 2)])
+    orders = commands(spark, [("trigger", 100), ("trigger", 450)])
+    listed = members(spark, ["a"], 150)
+    for name, df in (("e", log), ("c", orders)):
+        df.coalesce(1).write.parquet(str(tmp_path / name))
+    live, triggers = (
+        as_event_time(file_stream(spark, str(tmp_path / name), df.schema)) for name, df in (("e", log), ("c", orders)))
+    got = delivery.run_append(spark, stateful.triggered_stream(live, triggers, listed, lateness_ms=200), "t")
+    assert rows(got.select("trigger_id", "seq")) == [(0, 1)]
+
+
+def test_rows_later_than_allowed_change_nothing(spark, tmp_path):
+    schema = events(spark, []).schema
+    for part in ([(1, "a", 10, 1), (3, "a", 5000, 3)], [(4, "a", 6000, 4)], [(2, "a", 20, 2), (5, "a", 9000, 5)]):
+        events(spark, part).coalesce(1).write.mode("append").parquet(str(tmp_path / "e"))
+    commands(spark, [("trigger", 100), ("trigger", 5500)]).coalesce(1).write.parquet(str(tmp_path / "c"))
+    live = as_event_time(file_stream(spark, str(tmp_path / "e"), schema, max_files=1))
+    triggers = as_event_time(file_stream(spark, str(tmp_path / "c"), commands(spark, []).schema, max_files=1))
+    got = delivery.run_append(spark, stateful.triggered_stream(live, triggers, members(spark, ["a"], 150)), "t")
+    assert rows(got.select("trigger_id", "iteration", "seq")) == [(0, 1, 1), (1, 2, 3)]
+
+
+@IN_ANY_ORDER
+def test_life_cycle_stream(spark, tmp_path, files, late, seed):
     log = events(spark, ITEMS)
     orders = commands(
         spark, [("trigger", 5), ("start", 10), ("trigger", 200), ("trigger", 500), ("stop", 510), ("trigger", 600),
                 ("start", 700), ("trigger", 701), ("start", 800), ("trigger", 990)])
     listed = members(spark, PVS, 150)
-    live, controls = both(spark, log, orders, tmp_path, files)
+    live, controls = both(spark, log, orders, tmp_path, files, late, seed)
     got = delivery.run_append(
-        spark, stateful.triggered_stream(live, controls, listed, needs_start=True), "t")
+        spark, stateful.triggered_stream(live, controls, listed, needs_start=True, lateness_ms=late), "t")
     expected = triggered.triggered_life_cycle(orders, listed, log)
     columns = ["trigger_id", "iteration", "pv_name"]
     assert rows(got.select(*columns, "seq")) == rows(expected.select(*columns, "value_seq"))
@@ -216,15 +255,15 @@ def test_batches_reach_user_code_whole(spark, tmp_path):
     assert dict(seen) == {0: 20, 1: 20, 2: 20}
 
 
-@pytest.mark.parametrize("files", [1, 4])
-def test_delivery_while_active_stream(spark, tmp_path, files):
+@IN_ANY_ORDER
+def test_delivery_while_active_stream(spark, tmp_path, files, late, seed):
     log = events(spark, ITEMS)
     orders = spark.createDataFrame(
         [(pv, at(ms), 1000 + i, kind) for i, (pv, ms, kind) in enumerate(
             [("a", 100, "start"), ("a", 300, "start"), ("a", 500, "stop"), ("b", 10, "stop"), ("a", 800, "start"), ("b", 900, "start")])],
         "pv_name STRING, ts TIMESTAMP_NTZ, seq BIGINT, command STRING")
-    live, controls = both(spark, log, orders, tmp_path, files)
-    got = delivery.run_append(spark, stateful.delivery_stream(live, controls), "t")
+    live, controls = both(spark, log, orders, tmp_path, files, late, seed)
+    got = delivery.run_append(spark, stateful.delivery_stream(live, controls, lateness_ms=late), "t")
     assert rows(got.select("seq")) == rows(subscriptions.deliver_while_active(log, orders).select("seq"))
 
 
