@@ -7,8 +7,7 @@ of the log, cut into offset segments so that a busy topic is many tasks.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
@@ -78,41 +77,131 @@ def robust_epochs(records: DataFrame, segment_offsets: int | None = None) -> Dat
     )
 
 
-def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Accept a header when none is open; close it at the first tail of its iteration.
+# Headers one task follows at most.
+SEGMENT_HEADERS = 200_000
+_HEADERS = "topic STRING, header_offset BIGINT, next_header BIGINT, kind STRING"
+
 
-    The input is sorted by (topic, offset); one open header is all that is remembered.
+def _headers_with_tails(control: DataFrame, width: int) -> DataFrame:
+    """Every header with the first tail of its iteration after it, and the first header after that tail.
+
+    Both are running values along the reversed offset, so neither a topic nor an iteration is one task.
     """
-    topic, opened = None, None
-    for batch in batches:
-        closed = []
-        for row in batch.itertuples(index=False):
-            if row.topic != topic:
-                topic, opened = row.topic, None
-            if row.message_type == HEADER:
-                opened = opened or row
-            elif opened is not None and row.iter_index == opened.iter_index:
-                closed.append(
-                    (topic, opened.offset, opened.iter_index, opened.timestamp_ms,
-                     row.offset, row.timestamp_ms)
-                )
-                opened = None
-        yield pd.DataFrame(closed, columns=[field.split()[0] for field in EPOCHS.split(", ")])
-
-
-def exact_epochs(records: DataFrame) -> DataFrame:
+    back = control.withColumn("__back", -F.col("offset"))
+    placed = back.withColumn("__segment", segment_of(F.col("__back"), width)).withColumn(
+        "__header", F.when(F.col("message_type") == HEADER, F.struct(F.col("offset").alias("next_header")))
+    )
+    ahead = running_last(placed, ["topic"], "__segment", ["__back"], "__header", "__next", inclusive=False)
+    tail = F.struct(
+        F.col("offset").alias("tail_offset"), F.col("timestamp_ms").alias("tail_timestamp"),
+        F.col("__next.next_header").alias("next_header"),
+    )
+    tails = ahead.withColumn("__tail", F.when(F.col("message_type") == TAIL, tail))
+    closed = running_last(
+        tails, ["topic", "iter_index"], "__segment", ["__back"], "__tail", "__closing", inclusive=False
+    )
+    return closed.where(F.col("message_type") == HEADER).select(
+        "topic",
+        F.col("offset").alias("header_offset"),
+        F.col("iter_index").alias("iteration"),
+        F.col("timestamp_ms").alias("header_timestamp"),
+        "__closing.*",
+        segment_of(F.col("offset"), width).alias("__segment"),
+    )
+
+
+def _following(headers: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray]:
+    """A segment's headers by offset, and the place of the header accepted after each (its own place if outside)."""
+    headers = headers.sort_values("header_offset", ignore_index=True)
+    offsets, following = headers["header_offset"].to_numpy(), headers["next_header"].to_numpy(np.float64, na_value=np.inf)
+    place = np.searchsorted(offsets, following)
+    own = np.arange(len(offsets))
+    return headers, np.where(place < len(offsets), place, own)
+
+
+def _last_of_chain(place: np.ndarray) -> np.ndarray:
+    """Where the chain from each header ends within the segment, by doubling the steps."""
+    while True:
+        further = place[place]
+        if (further == place).all():
+            return place
+        place = further
+
+
+def _left_to(headers: pd.DataFrame) -> pd.DataFrame:
+    """The headers beyond the segment that any of its chains leads to."""
+    headers, place = _following(headers)
+    out = headers.iloc[np.unique(_last_of_chain(place))]
+    out = out[out["next_header"].notna()].drop_duplicates("next_header")
+    return pd.DataFrame({"topic": out["topic"], "header_offset": out["next_header"].astype("int64")})
+
+
+def _way_through(group: pd.DataFrame) -> pd.DataFrame:
+    """Of the headers at which a segment may be entered, where each one's chain leaves it."""
+    headers, place = _following(group[group["kind"] == "header"])
+    entries = np.unique(group["header_offset"][group["kind"] == "entry"].to_numpy())
+    at = np.searchsorted(headers["header_offset"].to_numpy(), entries)
+    left = headers["next_header"].to_numpy()[_last_of_chain(place)[at]]
+    return pd.DataFrame({"topic": group["topic"].iloc[0], "header_offset": entries, "next_header": pd.array(left, "Int64"), "kind": "entry"})
+
+
+def _entered(entries: pd.DataFrame) -> pd.DataFrame:
+    """Compose the segments of a topic: the entries that its first header leads to, few rows a segment."""
+    way = dict(zip(entries["header_offset"], entries["next_header"]))
+    at, out = min(way), []
+    while not pd.isna(at):
+        out.append(at)
+        at = way[at]
+    return pd.DataFrame({"topic": entries["topic"].iloc[0], "header_offset": out})
+
+
+def _accepted(group: pd.DataFrame) -> pd.DataFrame:
+    """The closed iterations of a segment's chain from its entry."""
+    headers, place = _following(group[group["kind"] == "header"])
+    entry = group["header_offset"][group["kind"] == "entry"]
+    chain: list[int] = []
+    if len(entry):
+        at = int(np.searchsorted(headers["header_offset"].to_numpy(), entry.min()))
+        chain.append(at)
+        while place[at] != at:
+            at = int(place[at])
+            chain.append(at)
+    out = headers.iloc[chain]
+    return out[out["tail_offset"].notna()][_EPOCH_COLUMNS]
+
+
+_EPOCH_COLUMNS = [field.split()[0] for field in EPOCHS.split(", ")]
+
+
+def exact_epochs(records: DataFrame, segment_offsets: int | None = None) -> DataFrame:
     """The iterations a strict consumer accepts: an open header refuses every later one.
 
-    A lost tail blocks its topic until a tail of that iteration arrives.  The rule is
-    sequential per topic, so headers and tails stream through one sorted pass per topic
-    with constant memory; the data records take no part in it.
+    A lost tail blocks its topic until a tail of that iteration arrives.  If a header is accepted, the tail that
+    closes it is the first one of its iteration after it, and the next header accepted is the first after that
+    tail: a chain through the headers of a topic.  Chains are followed within segments of a topic, by doubling
+    steps; a segment hands on only where its chains lead to, which are few headers as chains soon meet.  Those
+    rows are composed per topic, and each segment then marks the one chain that enters it.
     """
-    return (
-        _control(records)
-        .repartition("topic")
-        .sortWithinPartitions("topic", "offset")
-        .mapInPandas(_walk, EPOCHS)
+    control = _control(records)
+    width = segment_offsets or fitting_width(control, ["topic"], F.col("offset"), SEGMENT_OFFSETS, SEGMENT_HEADERS)
+    headers = materialise(_headers_with_tails(control, width))
+    segment = segment_of(F.col("header_offset"), width).alias("__segment")
+    first = headers.groupBy("topic").agg(F.min("header_offset").alias("header_offset"))
+    left_to = headers.select("topic", "__segment", "header_offset", "next_header").groupBy("topic", "__segment").applyInPandas(
+        _left_to, "topic STRING, header_offset BIGINT"
+    )
+    marked = headers.withColumn("kind", F.lit("header"))
+
+    def with_entries(entries: DataFrame):
+        rows = entries.select("topic", "header_offset", segment, F.lit("entry").alias("kind"))
+        return marked.unionByName(rows, allowMissingColumns=True).groupBy("topic", "__segment")
+
+    ways = with_entries(first.unionByName(left_to)).applyInPandas(
+        lambda group: _way_through(group) if (group["kind"] == "entry").any() else pd.DataFrame(columns=["topic", "header_offset", "next_header", "kind"]),
+        _HEADERS,
     )
+    entered = ways.groupBy("topic").applyInPandas(_entered, "topic STRING, header_offset BIGINT")
+    return with_entries(entered).applyInPandas(_accepted, EPOCHS)
 
 
 def place_data(
@@ -165,7 +254,7 @@ def reassemble(
     if mode not in ("robust", "exact"):
         raise ValueError("mode must be 'robust' or 'exact'")
     width = segment_offsets or _width(records)
-    epochs = robust_epochs(records, width) if mode == "robust" else exact_epochs(records)
+    epochs = robust_epochs(records, width) if mode == "robust" else exact_epochs(records, segment_offsets)
     epochs = materialise(epochs)
     closing = epochs.where(F.col("tail_offset").isNotNull()).select(
         "topic",
