@@ -182,7 +182,8 @@ def exact_epochs(records: DataFrame, segment_offsets: int | None = None) -> Data
     steps; a segment hands on only where its chains lead to, which are few headers as chains soon meet.  Those
     rows are composed per topic, and each segment then marks the one chain that enters it.
     """
-    control = _control(records)
+    # Headers and tails are a small share of the log; the running values below read them several times.
+    control = materialise(_control(records))
     width = segment_offsets or fitting_width(control, ["topic"], F.col("offset"), SEGMENT_OFFSETS, SEGMENT_HEADERS)
     headers = materialise(_headers_with_tails(control, width))
     segment = segment_of(F.col("header_offset"), width).alias("__segment")

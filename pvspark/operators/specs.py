@@ -33,7 +33,7 @@ def validate_specs(specs: DataFrame) -> DataFrame:
     """Fill in defaults and add ``error``: the first failing rule, or null for a valid spec.
 
     The address check of the whole list comes first, as it does when a snapshot is created.
-    ``type`` and ``sub_push_delay_msec`` are not validated.
+    ``sub_push_delay_msec`` is not validated.
     """
     name = F.col("snapshot_name")
     uris = F.col("pv_uri_list")
@@ -50,6 +50,7 @@ def validate_specs(specs: DataFrame) -> DataFrame:
         .when(F.exists(uris, lambda uri: uri.isNull()), "non_text_uri")
         .when(F.col("time_window") < 0, "negative_time_window")
         .when(F.col("repeat_delay") < 0, "negative_repeat_delay")
+        .when(~F.col("type").isin(NORMAL, TIMED_BUFFERED), "unknown_type")
     )
     return with_defaults(specs).withColumn("error", error)
 

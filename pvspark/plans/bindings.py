@@ -110,8 +110,9 @@ def mixed_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("n") % 7 == 6, F.concat("uris", F.array(F.lit("pv://bad")))).otherwise(F.col("uris")).alias("pv_uri_list"),
         F.when(F.col("n") % 4 != 2, F.when(F.col("n") % 3 == 0, WINDOW_MS).otherwise(2 * WINDOW_MS)).cast("bigint").alias("time_window"),
         F.lit(None).cast("bigint").alias("repeat_delay"),
+        F.when(F.col("n") % 5 == 1, PUSH_MS).cast("bigint").alias("sub_push_delay_msec"),
         F.when(F.col("n") % 4 > 1, True).alias("triggered"),
-        F.when(F.col("n") % 2 == 1, "timedbuffered").alias("type"),
+        F.when(F.col("n") % 11 == 10, "other").when(F.col("n") % 2 == 1, "timedbuffered").alias("type"),
         F.when(F.col("n") % 3 == 0, F.array(F.lit("k"))).when(F.col("n") % 3 == 1, F.array(F.lit("zz"))).alias("pv_field_filter_list"),
     )
 

@@ -395,26 +395,28 @@ FROM routed JOIN req ON msg_id = reply_id WHERE route = 'reply'""",
 ORACLE["snapshots_from_specs"] = f"""WITH {EV}, {MB}, {TRIG}, spec AS (
   SELECT snapshot_name, pv_name, n, CASE WHEN n % 2 = 1 THEN 'timedbuffered' ELSE 'normal' END AS kind, n % 4 > 1 AS manual,
     CAST(CASE WHEN n % 4 = 2 THEN 1000 WHEN n % 3 = 0 THEN {WINDOW} ELSE {2 * WINDOW} END AS BIGINT) AS win
-  FROM (SELECT *, CAST(substr(snapshot_name, 6) AS INTEGER) AS n FROM mb) WHERE n % 7 <> 6
+  FROM (SELECT *, CAST(substr(snapshot_name, 6) AS INTEGER) AS n FROM mb) WHERE n % 7 <> 6 AND n % 11 <> 10
 ), spine AS (
   SELECT spec.*, unnest(generate_series(1, (SELECT max(ts_ms) FROM ev) // win - {ORIGIN} // win + 1)) AS iteration
   FROM spec WHERE NOT manual
 ), placed AS (
-  SELECT spine.snapshot_name, iteration, spine.pv_name, kind, manual, n, ev.seq, ev.value, ev.ts
+  SELECT spine.snapshot_name, iteration, spine.pv_name, kind, manual, n, win, ev.seq, ev.value, ev.ts
   FROM spine LEFT JOIN ev ON ev.pv_name = spine.pv_name AND ev.ts_ms >= {ORIGIN} + (iteration - 1) * win AND ev.ts_ms < {ORIGIN} + iteration * win
   WHERE iteration <= ((SELECT max(ts_ms) FROM ev) - {ORIGIN}) // win + 1
   UNION ALL
-  SELECT spec.snapshot_name, iteration, spec.pv_name, kind, manual, n, ev.seq, ev.value, ev.ts
+  SELECT spec.snapshot_name, iteration, spec.pv_name, kind, manual, n, win, ev.seq, ev.value, ev.ts
   FROM spec JOIN trig USING (snapshot_name) LEFT JOIN ev ON ev.pv_name = spec.pv_name AND ev.ts_us <= trig.ts_us
     AND (kind = 'normal' OR ev.ts_us > trig.ts_us - win * 1000)
   WHERE manual
 ), rows AS (
-  SELECT snapshot_name, iteration, pv_name, kind, manual, n, seq, value FROM placed WHERE kind = 'timedbuffered'
+  SELECT snapshot_name, iteration, pv_name, kind, manual, n, CASE WHEN NOT manual AND seq IS NOT NULL THEN
+    CASE WHEN n % 5 = 1 THEN (epoch_us(ts) // 1000 - {ORIGIN} - (iteration - 1) * win) // {PUSH} ELSE 0 END END AS push_index, seq, value
+  FROM placed WHERE kind = 'timedbuffered'
   UNION ALL
-  SELECT snapshot_name, iteration, pv_name, kind, manual, n, arg_max(seq, (ts, seq)), arg_max(value, (ts, seq))
+  SELECT snapshot_name, iteration, pv_name, kind, manual, n, NULL, arg_max(seq, (ts, seq)), arg_max(value, (ts, seq))
   FROM placed WHERE kind = 'normal' GROUP BY ALL
 )
-SELECT snapshot_name, iteration, rows.pv_name, seq, rows.value, kind AS type, manual AS triggered,
+SELECT snapshot_name, iteration, CAST(push_index AS BIGINT) AS push_index, rows.pv_name, seq, rows.value, kind AS type, manual AS triggered,
   CASE WHEN props IS NULL THEN NULL WHEN n % 3 = 1 THEN '{{}}' ELSE props_kept END AS fields
 FROM rows LEFT JOIN (SELECT seq, props, CAST(json_object('k', json_extract(props, '$.k')) AS VARCHAR) AS props_kept FROM ev) USING (seq)"""
 ORACLE["get_outcomes"] = f"""WITH {ROUTED}, req AS (SELECT 'req-' || p_partkey AS reply_id, 'user:' || (p_size - 1) AS pv_name FROM part),
