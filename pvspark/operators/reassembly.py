@@ -184,7 +184,11 @@ def exact_epochs(records: DataFrame, segment_offsets: int | None = None) -> Data
     """
     # Headers and tails are a small share of the log; the running values below read them several times.
     control = materialise(_control(records))
-    width = segment_offsets or fitting_width(control, ["topic"], F.col("offset"), SEGMENT_OFFSETS, SEGMENT_HEADERS)
+    width = segment_offsets
+    if width is None:
+        # Sparse offsets must not give segments of a header each, so the widest segment is the whole log.
+        widest = (control.agg(F.max("offset")).first()[0] or 0) + 1
+        width = fitting_width(control, ["topic"], F.col("offset"), widest, SEGMENT_HEADERS)
     headers = materialise(_headers_with_tails(control, width))
     segment = segment_of(F.col("header_offset"), width).alias("__segment")
     first = headers.groupBy("topic").agg(F.min("header_offset").alias("header_offset"))
