@@ -10,10 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pvspark.functions import windows
-from pvspark.operators.segments import LIST_VALUES, ordered_lists
+from pvspark.operators.segments import LIST_VALUES, ordered_lists, running_last, segment_of
 from pvspark.sizing import checked_broadcast
 
 DAY_MS = 86_400_000
+# Iterations of one PV that one task carries values through.
+CARRY_ITERATIONS = 100_000
 _BLOCK = 4096
 _KEY = ["snapshot_name", "iteration", "pv_name"]
 
@@ -115,7 +117,8 @@ def recurring_normal(
     """Last value per PV per window, with its ``value_seq``; both are null where there is none.
 
     ``carry_forward`` repeats the PV's last known value through windows without data; the
-    rows it orders are one per PV and iteration, whatever the event rate.
+    rows it orders are one per PV and iteration, whatever the event rate, and are cut into segments
+    of iterations, so a PV with very many of them is many tasks.
     """
     happened = F.when(F.col("seq").isNotNull(), F.struct("ts", "seq"))
     result = (
@@ -128,12 +131,10 @@ def recurring_normal(
         )
     )
     if carry_forward:
-        upto = (
-            Window.partitionBy("snapshot_name", "pv_name")
-            .orderBy("iteration")
-            .rowsBetween(Window.unboundedPreceding, 0)
-        )
-        result = result.withColumn("value", F.last("value", ignorenulls=True).over(upto))
+        in_segments = result.withColumn("__segment", segment_of(F.col("iteration"), CARRY_ITERATIONS))
+        result = running_last(
+            in_segments, ["snapshot_name", "pv_name"], "__segment", ["iteration"], "value", "__carried_value"
+        ).withColumn("value", F.col("__carried_value")).drop("__segment", "__carried_value")
     return with_timestamps(result, origin_ms)
 
 

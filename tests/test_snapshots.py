@@ -105,6 +105,15 @@ def test_static_pv_is_listed_in_every_iteration(spark):
     assert rows(carried.select("iteration", "value")) == [(i, 7.0) for i in range(1, 5)]
 
 
+def test_values_are_carried_across_segments_of_iterations(spark, monkeypatch):
+    monkeypatch.setattr(snapshots, "CARRY_ITERATIONS", 3)
+    log = events(spark, [(1, "a", 5, 7), (2, "b", 205, 1), (3, "a", 121, 9)])
+    carried = snapshots.recurring_normal(log, members(spark, PVS, 10), ORIGIN_MS, carry_forward=True)
+    got = {(r.pv_name, r.iteration): r.value for r in carried.collect()}
+    assert got == {
+        **{("a", i): 7.0 if i < 13 else 9.0 for i in range(1, 22)}, **{("b", i): 1.0 if i == 21 else None for i in range(1, 22)}}
+
+
 def test_empty_window_without_gap_is_an_error(spark):
     log = events(spark, [(1, "a", 0, 7)])
     with pytest.raises(Exception, match="must be positive"):
