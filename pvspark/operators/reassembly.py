@@ -249,12 +249,13 @@ def place_data(
 
 
 def reassemble(
-    records: DataFrame, mode: str = "robust", segment_offsets: int | None = None
+    records: DataFrame, mode: str = "robust", segment_offsets: int | None = None, pv_list: DataFrame | None = None
 ) -> DataFrame:
     """Values of every completed iteration, one row per value, ordered by offset.
 
     The last row of an iteration has the tail's offset and a null ``pv_name``, so an iteration
-    without values shows too.
+    without values shows too.  With a ``pv_list`` (topic, pv_name) only its topics and PVs are in the result,
+    and a listed PV without a value has one row whose ``offset`` and ``value`` are null.
     """
     if mode not in ("robust", "exact"):
         raise ValueError("mode must be 'robust' or 'exact'")
@@ -270,7 +271,22 @@ def reassemble(
         F.col("tail_timestamp").alias("timestamp"),
         F.col("tail_offset").alias("offset"),
     )
-    return place_data(records, epochs, width).unionByName(closing, allowMissingColumns=True)
+    values = place_data(records, epochs, width)
+    if pv_list is not None:
+        values = materialise(_of_listed(epochs, values, pv_list))
+        closing = closing.join(checked_broadcast(pv_list.select("topic").distinct()), "topic", "left_semi")
+    return values.unionByName(closing, allowMissingColumns=True)
+
+
+def _of_listed(epochs: DataFrame, values: DataFrame, pv_list: DataFrame) -> DataFrame:
+    """The values of listed PVs, and a row for each listed PV that an iteration has no value of."""
+    listed = checked_broadcast(pv_list.select("topic", "pv_name").distinct())
+    silent = (
+        completed_iterations(epochs, values, pv_list).where(F.col("n_values") == 0).drop("n_values")
+        .withColumn("timestamp", F.col("tail_timestamp"))
+    )
+    kept = values.join(listed, ["topic", "pv_name"], "left_semi").select(values.columns)
+    return kept.unionByName(silent, allowMissingColumns=True)
 
 
 def completed_iterations(epochs: DataFrame, values: DataFrame, pv_list: DataFrame) -> DataFrame:

@@ -341,6 +341,11 @@ SELECT {_KEYS}, last_value(value IGNORE NULLS) OVER (PARTITION BY snapshot_name,
 FROM spine LEFT JOIN win USING ({_KEYS}) GROUP BY ALL""",
     "reassembly_robust": f"WITH {EV}, {RECORDS} SELECT kept.* FROM kept JOIN bucket ON kept.topic = bucket.topic AND kept.iteration = b + 1 WHERE first_type <> 'purchase' UNION ALL SELECT * FROM closing",
     "reassembly_exact": EXACT_ROWS,
+    "reassembly_listed": f"""WITH {EV}, {MB}, {RECORDS}
+SELECT closing.topic, closing.iteration, closing.header_timestamp, closing.tail_timestamp, kept."offset", mb.pv_name, kept.value
+FROM closing JOIN mb ON mb.snapshot_name = closing.topic
+LEFT JOIN kept ON kept.topic = closing.topic AND kept.iteration = closing.iteration AND kept.pv_name = mb.pv_name
+UNION ALL SELECT * FROM closing WHERE topic IN (SELECT snapshot_name FROM mb)""",
     "reassembly_completed": f"""WITH {EV}, {MB}, {RECORDS}
 SELECT bucket.topic, b + 1 AS iteration, mb.pv_name, count(kept.value) AS n_values
 FROM bucket JOIN mb ON mb.snapshot_name = bucket.topic

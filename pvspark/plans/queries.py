@@ -417,6 +417,15 @@ def reassembly_exact(spark, d):
     ).select(*_REASSEMBLED)
 
 
+@query
+def reassembly_listed(spark, d):
+    """The values of listed PVs, with a row for each that an iteration has no value of."""
+    listed = b.members(spark, d).select(F.col("snapshot_name").alias("topic"), "pv_name")
+    return reassembly.reassemble(
+        b.snapshot_records(spark, d), "robust", pv_list=listed
+    ).select(*_REASSEMBLED)
+
+
 @query
 def reassembly_completed(spark, d):
     records = b.snapshot_records(spark, d)

@@ -71,3 +71,18 @@ def test_no_records_and_no_headers(spark):
     assert rows(reassembly.exact_epochs(spark.createDataFrame([], SCHEMA))) == []
     tails = spark.createDataFrame([("t", 1, 2, 1, 1, None, None)], SCHEMA)
     assert rows(reassembly.exact_epochs(tails)) == []
+
+
+@pytest.mark.parametrize("mode", ["robust", "exact"])
+def test_listed_pvs_only_and_a_row_for_each_silent_one(spark, mode):
+    items = [
+        ("t", 1, 0, 1, 10, None, None), ("t", 2, 1, 1, 11, "a", 1.0), ("t", 3, 1, 1, 12, "other", 2.0), ("t", 4, 1, 1, 13, "a", 3.0),
+        ("t", 5, 2, 1, 14, None, None), ("t", 6, 0, 2, 20, None, None), ("t", 7, 2, 2, 21, None, None),
+        ("u", 1, 0, 1, 10, None, None), ("u", 2, 1, 1, 11, "a", 1.0), ("u", 3, 2, 1, 12, None, None),
+        ("t", 8, 0, 3, 30, None, None), ("t", 9, 1, 3, 31, "a", 9.0),
+    ]
+    listed = spark.createDataFrame([("t", "a"), ("t", "quiet"), ("t", "a"), ("never", "a")], "topic STRING, pv_name STRING")
+    got = reassembly.reassemble(spark.createDataFrame(items, SCHEMA), mode, pv_list=listed)
+    assert rows(got.select("topic", "iteration", "offset", "pv_name", "value", "timestamp")) == sorted(
+        [("t", 1, 2, "a", 1.0, 14), ("t", 1, 4, "a", 3.0, 14), ("t", 1, None, "quiet", None, 14), ("t", 1, 5, None, None, 14),
+         ("t", 2, None, "a", None, 21), ("t", 2, None, "quiet", None, 21), ("t", 2, 7, None, None, 21)], key=repr)
