@@ -78,6 +78,32 @@ def recurring_stream(
     )
 
 
+def recurring_members_stream(
+    events: DataFrame, members: DataFrame, origin_ms: int, lateness_ms: int = 0
+) -> DataFrame:
+    """Last value per listed PV per window of its own member, so snapshots with any windows and gaps share a stream.
+
+    The end of an event's window is computed per member and is the event-time column.  A window may end
+    as far ahead of its events as the longest of the members is, so the watermark allows for that and the
+    lateness: an event in time is never dropped, and a window is emitted at most that much later.
+    """
+    longest = members.agg(F.coalesce(F.max("time_window"), _bigint(0)).alias("longest")).first()["longest"]
+    placed = with_timestamps(assign_iterations(events, members, origin_ms), origin_ms)
+    order = F.struct("ts", "seq")
+    return (
+        placed.withColumn("window_end", F.timestamp_millis("tail_timestamp"))
+        .withWatermark("window_end", f"{lateness_ms + longest} milliseconds")
+        .groupBy("snapshot_name", "iteration", "pv_name", "header_timestamp", "tail_timestamp", "window_end")
+        .agg(
+            F.max_by("value", order).alias("value"),
+            F.max_by("seq", order).alias("value_seq"),
+            F.count(F.lit(1)).alias("n_events"),
+        )
+        .withColumn("timestamp", F.col("tail_timestamp"))
+        .drop("window_end")
+    )
+
+
 def sub_push_stream(
     events: DataFrame,
     members: DataFrame,

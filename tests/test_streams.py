@@ -56,6 +56,25 @@ def test_state_stream(spark, tmp_path):
     assert rows(got) == rows(latest.put_state(writes).select("pv_name", "field", "seq", "value"))
 
 
+def test_members_with_different_windows_share_a_stream(spark, tmp_path):
+    rng = random.Random(8)
+    items = [(i, rng.choice("abx"), rng.randrange(2000), i) for i in range(200)]
+    # Rows come in up to 150 ms late and across files; the last one closes every window.
+    log = events(spark, items + [(1000, "a", 9000, 0)])
+    late = {i: ms + rng.randrange(150) for i, _, ms, _ in items}
+    arrival = spark.createDataFrame([*late.items(), (1000, 10**6)], "seq BIGINT, arrives BIGINT")
+    stream = as_event_time(replay(spark, log.join(arrival, "seq"), "arrives", tmp_path, 6))
+    listed = members(spark, PVS, 100, 30, snapshot="short").unionByName(members(spark, PVS, 700, 0, snapshot="long"))
+    listed = listed.unionByName(members(spark, ["b"], 250, 400, snapshot="gaps"))
+    got = delivery.run_append(
+        spark, windows.recurring_members_stream(stream.drop("arrives"), listed, ORIGIN_MS, lateness_ms=150), "t")
+    batch = snapshots.recurring_normal(log, listed, ORIGIN_MS, complete=False)
+    columns = ["snapshot_name", "iteration", "pv_name", "header_timestamp", "tail_timestamp", "timestamp", "value", "value_seq", "n_events"]
+    want = rows(batch.where(F.col("tail_timestamp") < ORIGIN_MS + 8000).select(columns))
+    assert rows(got.select(columns)) == want
+    assert {r[0] for r in want} == {"short", "long", "gaps"}
+
+
 @pytest.mark.parametrize("delay", [0, 30])
 def test_recurring_streams(spark, tmp_path, delay):
     # A last row far ahead, in a window and of a listed PV, closes all others.
