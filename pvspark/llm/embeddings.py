@@ -100,6 +100,8 @@ def calibrate(dim: int, rows: int, cosine: float) -> Plan:
     while met.mean() < SHARE and tables < MOST_TABLES:
         met |= plan.cell(a, tables) == plan.cell(b, tables)
         tables += 1
+    if met.mean() < SHARE:
+        raise ValueError(f"{MOST_TABLES} tables reach {met.mean():.3f} of the pairs at cosine {cosine}, not {SHARE}: use a higher cosine")
     return Plan(dim, plan.axes, max(1, tables), window, least, cosine)
 
 

@@ -82,3 +82,8 @@ def test_recall_at_the_threshold(rows):
     met = (plan.cells(a) == plan.cells(b)).any(axis=1)
     hits = (np.abs(plan.projections(a) - plan.projections(b)) <= plan.window).sum(axis=1) >= plan.least_hits
     assert (met & hits).mean() > 0.97
+
+
+def test_a_cosine_out_of_reach_is_refused():
+    with pytest.raises(ValueError, match="higher cosine"):
+        embeddings.calibrate(64, 10**9, 0.2)
