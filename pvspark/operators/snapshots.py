@@ -17,6 +17,8 @@ DAY_MS = 86_400_000
 # Iterations of one PV that one task carries values through.
 CARRY_ITERATIONS = 100_000
 _BLOCK = 4096
+# Spine entries one task makes and groups.
+SPINE_ROWS = 500_000
 _KEY = ["snapshot_name", "iteration", "pv_name"]
 
 
@@ -48,26 +50,26 @@ def assign_iterations(
 def iteration_spine(members: DataFrame, events: DataFrame, origin_ms: int) -> DataFrame:
     """Every (snapshot, iteration, listed PV) up to the iteration of the log's last event.
 
-    The last instant is one number from a scalar subquery.  Iterations are generated in two
-    steps, blocks first, so neither an array nor a task grows with the length of the log.
+    The last instant is one number.  Iterations are generated in two steps, blocks first, so that an array
+    does not grow with the length of the log.  Blocks are few bytes but many rows, so adaptive execution
+    would put them all into one task: the number of tasks follows from the number of entries.
     """
     origin = F.lit(origin_ms).cast("bigint")
-    last_ms = events.agg(F.max("ts_ms").alias("last_ms")).scalar()
-    last = windows.iteration_of(last_ms, origin, _period())
-    blocks = (
-        members.withColumn("last_iteration", last)
-        .where(F.col("last_iteration") > 0)
-        .withColumn(
-            "block",
-            F.explode(
-                F.sequence(
-                    F.lit(0).cast("bigint"),
-                    F.call_function("div", F.col("last_iteration") - 1, F.lit(_BLOCK)),
-                )
-            ),
-        )
-        .repartition("snapshot_name", "pv_name", "block")
+    last_ms = F.lit(events.agg(F.max("ts_ms")).first()[0]).cast("bigint")
+    listed = members.withColumn("last_iteration", windows.iteration_of(last_ms, origin, _period())).where(
+        F.col("last_iteration") > 0
     )
+    entries = listed.agg(F.sum("last_iteration")).first()[0] or 0
+    tasks = max(members.sparkSession.sparkContext.defaultParallelism, -(-entries // SPINE_ROWS))
+    blocks = listed.withColumn(
+        "block",
+        F.explode(
+            F.sequence(
+                F.lit(0).cast("bigint"),
+                F.call_function("div", F.col("last_iteration") - 1, F.lit(_BLOCK)),
+            )
+        ),
+    ).repartition(tasks, "snapshot_name", "pv_name", "block")
     start = F.col("block") * _BLOCK + 1
     stop = F.least(start + (_BLOCK - 1), F.col("last_iteration"))
     return blocks.withColumn("iteration", F.explode(F.sequence(start, stop))).drop(

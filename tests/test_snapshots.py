@@ -4,6 +4,8 @@ import pytest
 from helpers import ORIGIN_MS, at, events, members, rows
 from hypothesis import HealthCheck, given, settings, strategies as st
 
+from pyspark.sql import functions as F
+
 from pvspark.operators import snapshots, triggered
 
 common = settings(
@@ -189,3 +191,13 @@ def test_life_cycle(spark):
     )
     got = triggered.triggered_life_cycle(commands, members(spark, ["a"], 1000), log)
     assert rows(got.select("trigger_id", "iteration", "value")) == [(2, 1, None), (3, 2, 2.0), (7, 1, None)]
+
+
+def test_the_spine_is_made_by_as_many_tasks_as_its_entries_need(spark, monkeypatch):
+    monkeypatch.setattr(snapshots, "SPINE_ROWS", 50)
+    log = events(spark, [(1, "p0", 0, 1), (2, "p0", 999, 2)])
+    listed = members(spark, [f"p{i}" for i in range(40)], 10)
+    spine = snapshots.iteration_spine(listed, log, ORIGIN_MS)
+    sizes = [r.n for r in spine.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    # 40 PVs of one block each; a block is not split, and no task has more than a few of them.
+    assert sum(sizes) == 4000 and len(sizes) > 20 and max(sizes) <= 500
