@@ -7,13 +7,14 @@ them and are then taken in order, so the result does not depend on which micro-b
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from pvspark.operators.reassembly import DATA, HEADER, TAIL
 from pvspark.operators.routing import parse_one_shot
@@ -127,65 +128,91 @@ def reassembly_stream(records: DataFrame) -> DataFrame:
     )
 
 
-class OrderedProcessor(StatefulProcessor):
-    """Takes a key's rows in the order of ``at`` (microseconds), ``rank`` and ``seq``.
+# What a waiting row is: an event (0) or one of the commands.
+_EVENT, _TRIGGER, _START, _STOP = 0, 1, 2, 3
 
-    Rows wait in a list state until an event-time timer tells that the watermark has passed the first of them;
-    then all that it has passed are taken together, sorted.  What waits is what arrived within the allowed
-    lateness.  Rows later than that never get here: Spark drops them.
-    """
+# Waiting rows of a key, as plain bytes in its state.  ``known`` is false where ``seq`` is null.
+_WAITING = np.dtype(
+    [("at", "i8"), ("rank", "i1"), ("known", "?"), ("seq", "i8"), ("what", "i1"), ("value", "f8"), ("window_us", "i8")]
+)
+_VALUE = np.dtype([("at", "i8"), ("known", "?"), ("seq", "i8"), ("value", "f8")])
+_ORDERED_STATE = "waiting BINARY, carried BINARY, active BOOLEAN, iteration BIGINT"
 
-    waiting_columns: str
-    out_columns: str
+# A key's rows in order, and what it carries (values, active, iteration): the new carry, and the rows out.
+_Carry = tuple[np.ndarray, bool, int]
+_Take = Callable[[np.ndarray, _Carry], tuple[_Carry, dict[str, Any]]]
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.waiting = handle.getListState("waiting", self.waiting_columns)
-        self.alarm = handle.getValueState("alarm", "at_ms BIGINT")
-        self.names = _columns(self.waiting_columns)
 
-    def handleInputRows(
-        self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
-    ) -> Iterator[pd.DataFrame]:
-        first = None
-        for frame in rows:
-            # Nulls of number columns come as NaN, and stay what they are for what reads them.
-            self.waiting.appendList(list(zip(*[frame[name].tolist() for name in self.names])))
-            least = int(frame["at"].min())
-            first = least if first is None else min(first, least)
-        self._wake(first // 1000)
-        return iter(())
-
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        passed = timerValues.getCurrentWatermarkInMs() * 1000
-        held = [tuple(item) for item in self.waiting.get()]
-        ready = sorted((item for item in held if item[0] < passed), key=lambda item: item[:3])
-        rest = [item for item in held if item[0] >= passed]
-        self.alarm.clear()
-        if rest:
-            self.waiting.put(rest)
-            self._wake(min(item[0] for item in rest) // 1000)
-        else:
-            self.waiting.clear()
-        out = self.take(key, ready) if ready else []
-        if out:
-            yield _frame(out, self.out_columns)
+def _command(column: Column, no_command: int) -> Column:
+    code = F.when(column == "trigger", _TRIGGER).when(column == "start", _START).otherwise(_STOP)
+    return F.when(column.isNull(), no_command).otherwise(code)
 
-    def _wake(self, at_ms: int) -> None:
-        """One timer is set, for the first row that waits."""
-        before = self.alarm.get()
-        if before is not None and before[0] <= at_ms:
-            return
-        if before is not None:
-            self.handle.deleteTimer(before[0])
-        self.handle.registerTimer(at_ms)
-        self.alarm.update((at_ms,))
 
-    def take(self, key: Any, ready: list[tuple]) -> list[tuple]:
-        raise NotImplementedError
+def _waiting(rows: DataFrame, keys: list[str], rank: int, seq: str, what: Column, value: Column, window_us: Column) -> DataFrame:
+    """Rows as ``_WAITING`` has them, and ``ts`` for the watermark.  One without an instant has no place in the order."""
+    return rows.where(F.col("ts").isNotNull()).select(
+        *keys,
+        "ts",
+        F.unix_micros("ts").alias("at"),
+        F.lit(rank).cast("tinyint").alias("rank"),
+        F.col(seq).isNotNull().alias("known"),
+        F.coalesce(seq, F.lit(0)).cast("bigint").alias("seq"),
+        what.cast("tinyint").alias("what"),
+        value.cast("double").alias("value"),
+        F.coalesce(window_us, F.lit(0)).cast("bigint").alias("window_us"),
+    )
 
-    def close(self) -> None:
-        pass
+
+def _nullable(values: np.ndarray, known: np.ndarray) -> pd.arrays.IntegerArray:
+    return pd.arrays.IntegerArray(values.astype(np.int64), ~known)
+
+
+def _in_order(
+    rows: DataFrame, keys: list[str], out_schema: str, take: _Take, active: bool, lateness_ms: int
+) -> DataFrame:
+    """``take`` applied to each key's rows in the order of ``at`` (microseconds), ``rank`` and ``seq``.
+
+    Rows wait in the key's state until the watermark has passed them; then all that it has passed are taken
+    together, sorted.  What waits is what arrived within the allowed lateness.  Rows later than that never get
+    here: Spark drops them.  A key costs one call and one state row in a micro-batch, and its rows are arrays
+    throughout, so neither the number of keys nor that of rows means round trips to the state store.
+    """
+    names = _columns(out_schema)
+
+    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        waiting, carried, running, iteration = state.get if state.exists else (b"", b"", active, 0)
+        parts = [np.frombuffer(waiting, _WAITING)]
+        for frame in frames:
+            part = np.empty(len(frame), _WAITING)
+            for name in _WAITING.names if len(frame) else ():
+                part[name] = frame[name].to_numpy()
+            parts.append(part)
+        held = np.concatenate(parts)
+        watermark_ms = max(0, state.getCurrentWatermarkMs())
+        passed = held["at"] < watermark_ms * 1000
+        ready, rest = held[passed], held[~passed]
+        out: dict[str, Any] = {}
+        if len(ready):
+            ready = ready[np.lexsort([ready[name] for name in ("seq", "known", "rank", "at")])]
+            (values, running, iteration), out = take(
+                ready, (np.frombuffer(carried, _VALUE), bool(running), int(iteration)))
+            carried = values.tobytes()
+        state.update((rest.tobytes(), bytes(carried), bool(running), int(iteration)))
+        if len(rest):
+            state.setTimeoutTimestamp(max(1, watermark_ms, int(rest["at"].min()) // 1000))
+        if len(next(iter(out.values()), ())):
+            yield pd.DataFrame({**dict(zip(keys, key)), **out})[names]
+
+    return (
+        rows.withWatermark("ts", f"{lateness_ms} milliseconds")
+        .groupBy(*keys)
+        .applyInPandasWithState(step, out_schema, _ORDERED_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    )
+
+
+def _last_control(control: np.ndarray) -> np.ndarray:
+    """For each row the position of the last control at or before it, -1 if there is none."""
+    return np.maximum.accumulate(np.where(control, np.arange(len(control)), -1))
 
 
 TRIGGERED = (
@@ -193,66 +220,61 @@ TRIGGERED = (
     "seq BIGINT, value DOUBLE"
 )
 
-# Order of rows with the same instant: values first, then the commands in arrival order.
-_EVENT, _COMMAND = 0, 1
-
 
-class SnapshotProcessor(OrderedProcessor):
-    """Last value (or the values of the window) of one PV of one snapshot.
+def _take_snapshots(kind: str) -> _Take:
+    """Last value (or the values of the window) of one PV of one snapshot at each trigger.
 
-    With ``needs_start`` a snapshot only lives between its start and stop commands, and
-    each start begins again with iteration 1 and no values.  Commands are looked at one by
-    one; values are found by binary search.  Only values a later trigger can ask for are kept.
+    A snapshot that needs a start only lives between its start and stop commands, and each start begins again
+    with iteration 1 and no values.  Values are found by binary search, for all commands at once.  Only values
+    a later trigger can ask for are kept.
     """
 
-    waiting_columns = (
-        "at BIGINT, rank INT, seq BIGINT, trigger_id BIGINT, command STRING, value DOUBLE, window_us BIGINT"
-    )
-    out_columns = TRIGGERED
-
-    def __init__(self, kind: str, needs_start: bool) -> None:
-        self.kind = kind
-        self.needs_start = needs_start
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.progress = handle.getValueState("progress", "active BOOLEAN, iteration BIGINT")
-        self.values = handle.getListState("values", "at BIGINT, seq BIGINT, value DOUBLE")
-
-    def take(self, key: Any, ready: list[tuple]) -> list[tuple]:
-        active, iteration = self.progress.get() or (not self.needs_start, 0)
-        held = [tuple(item) for item in self.values.get()]
-        line = held + [(at, seq, value) for at, rank, seq, _, _, value, _ in ready if rank == _EVENT]
-        at = np.array([item[0] for item in line], dtype=np.int64)
-        window_us = ready[0][6]
+    def first(at: np.ndarray, start: Any, end: Any, after: Any) -> Any:
+        """Position of the first value a snapshot at ``end`` holds."""
+        if kind == NORMAL:
+            return np.maximum(start, end - 1)
+        return np.maximum(start, at.searchsorted(after, side="right"))
+
+    def take(ready: np.ndarray, carry: _Carry) -> tuple[_Carry, dict[str, Any]]:
+        kept, active, iteration = carry
+        is_event = ready["what"] == _EVENT
+        line = np.concatenate([kept, ready[is_event][list(_VALUE.names)].astype(_VALUE)])
+        at, window_us = line["at"], ready["window_us"][0]
+        asked = ready[~is_event]
+        trigger = asked["what"] == _TRIGGER
+        # Each start and stop, behind the state the snapshot was in before.
+        last = _last_control(~trigger) + 1
+        end = at.searchsorted(asked["at"], side="right")
+        actives = np.concatenate([[active], asked["what"] == _START])
         # Values from this position on belong to the running snapshot.
-        start = 0 if active else len(line)
-        out: list[tuple] = []
-        for when, rank, _, trigger_id, command, _, _ in ready:
-            if rank == _EVENT:
-                continue
-            end = int(at.searchsorted(when, side="right"))
-            if command != "trigger":
-                active, iteration = command == "start", 0
-                start = end if active else len(line)
-            elif active:
-                iteration += 1
-                first = self._first(at, start, end, when - window_us)
-                found = [item[1:] for item in line[first:end]] or [(None, None)]
-                out.extend((key[0], key[1], trigger_id, iteration, *item) for item in found)
-        self.progress.update((bool(active), int(iteration)))
-        kept = line[self._first(at, start, len(line), ready[-1][0] - window_us) :] if active else []
-        if kept:
-            self.values.put(kept)
-        elif held:
-            self.values.clear()
-        return out
+        starts = np.concatenate([[0], end])
+        pulled = np.cumsum(trigger)
+        before = np.concatenate([[-iteration], pulled])
+        at_trigger = trigger & actives[last]
+        low = first(at, starts[last], end, asked["at"] - window_us)[at_trigger]
+        n = np.maximum(0, end[at_trigger] - low)
+        # A trigger without values has one row.
+        size = np.maximum(1, n)
+        of = np.repeat(np.arange(len(n)), size)
+        place = low[of] + np.arange(len(of)) - (np.cumsum(size) - size)[of]
+        found = np.concatenate([line, np.zeros(1, _VALUE)])[np.where(n[of] > 0, place, len(line))]
+        pulls = asked[at_trigger][of]
+        out = {
+            "trigger_id": _nullable(pulls["seq"], pulls["known"]),
+            "iteration": (pulled - before[last])[at_trigger][of],
+            "seq": _nullable(found["seq"], found["known"]),
+            "value": np.where(n[of] > 0, found["value"], np.nan),
+        }
+        if len(asked):
+            active, start = bool(actives[last[-1]]), starts[last[-1]]
+            # What is counted goes on only in a running snapshot; another begins anew.
+            iteration = int(pulled[-1] - before[last[-1]]) if active else 0
+        else:
+            start = 0
+        from_here = int(first(at, start, len(line), ready["at"][-1] - window_us)) if active else len(line)
+        return (line[from_here:], active, iteration), out
 
-    def _first(self, at: Any, start: int, end: int, after: int) -> int:
-        """Position of the first value a snapshot at ``end`` holds."""
-        if self.kind == NORMAL:
-            return max(start, end - 1)
-        return max(start, int(at.searchsorted(after, side="right")))
+    return take
 
 
 def triggered_stream(
@@ -274,64 +296,28 @@ def triggered_stream(
     if kind not in (NORMAL, TIMED_BUFFERED):
         raise ValueError(f"unknown snapshot type {kind!r}")
     listed = checked_broadcast(members.select("snapshot_name", "pv_name", "time_window"))
-    window_us = (F.col("time_window") * 1000).alias("window_us")
-    seen = events.join(listed, "pv_name").select(
-        "snapshot_name",
-        "pv_name",
-        "ts",
-        F.unix_micros("ts").alias("at"),
-        F.lit(_EVENT).alias("rank"),
-        "seq",
-        F.lit(0).cast("bigint").alias("trigger_id"),
-        F.lit("value").alias("command"),
-        "value",
-        window_us,
-    )
-    asked = commands.join(listed, "snapshot_name").select(
-        "snapshot_name",
-        "pv_name",
-        "ts",
-        F.unix_micros("ts").alias("at"),
-        F.lit(_COMMAND).alias("rank"),
-        F.col("trigger_id").alias("seq"),
-        "trigger_id",
-        "command",
-        F.lit(None).cast("double").alias("value"),
-        window_us,
-    )
-    return (
-        seen.unionByName(asked)
-        .withWatermark("ts", f"{lateness_ms} milliseconds")
-        .groupBy("snapshot_name", "pv_name")
-        .transformWithStateInPandas(
-            SnapshotProcessor(kind, needs_start), TRIGGERED, "append", "eventTime"
-        )
+    keys, window_us, no_value = ["snapshot_name", "pv_name"], F.col("time_window") * 1000, F.lit(None)
+    seen = _waiting(events.join(listed, "pv_name"), keys, 0, "seq", F.lit(_EVENT), F.col("value"), window_us)
+    asked = _waiting(
+        commands.join(listed, "snapshot_name"), keys, 1, "trigger_id", _command(F.col("command"), _STOP), no_value,
+        window_us)
+    return _in_order(
+        seen.unionByName(asked), keys, TRIGGERED, _take_snapshots(kind), not needs_start, lateness_ms
     )
 
 
 DELIVERED = "pv_name STRING, seq BIGINT, at BIGINT, value DOUBLE"
 
 
-class DeliveryProcessor(OrderedProcessor):
-    """Whether a PV's monitor is started."""
-
-    waiting_columns = "at BIGINT, rank INT, seq BIGINT, command STRING, value DOUBLE"
-    out_columns = DELIVERED
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.active = handle.getValueState("active", "active BOOLEAN")
-
-    def take(self, key: Any, ready: list[tuple]) -> list[tuple]:
-        active = bool((self.active.get() or (False,))[0])
-        out: list[tuple] = []
-        for at, _, seq, command, value in ready:
-            if command is not None:
-                active = command == "start"
-            elif active:
-                out.append((key[0], seq, at, value))
-        self.active.update((active,))
-        return out
+def _take_active(ready: np.ndarray, carry: _Carry) -> tuple[_Carry, dict[str, Any]]:
+    """The events that come while the PV's monitor is started."""
+    kept, active, iteration = carry
+    control = ready["what"] != _EVENT
+    last = _last_control(control) + 1
+    actives = np.concatenate([[active], ready["what"] == _START])
+    heard = ready[~control & actives[last]]
+    out = {"seq": _nullable(heard["seq"], heard["known"]), "at": heard["at"], "value": heard["value"]}
+    return (kept, bool(actives[last[-1]]), iteration), out
 
 
 def delivery_stream(events: DataFrame, commands: DataFrame, lateness_ms: int = 0) -> DataFrame:
@@ -340,16 +326,11 @@ def delivery_stream(events: DataFrame, commands: DataFrame, lateness_ms: int = 0
     ``commands`` has pv_name, ts, seq and command (``start`` or ``stop``).  An event appears once the watermark
     has passed it: the newest instant of events and commands less ``lateness_ms``.
     """
-    at = [F.unix_micros("ts").alias("at"), F.lit(0).alias("rank")]
-    seen = events.select("pv_name", "ts", *at, "seq", F.lit(None).cast("string").alias("command"), "value")
-    asked = commands.select(
-        "pv_name", "ts", *at, "seq", "command", F.lit(None).cast("double").alias("value")
-    )
+    keys, no_window = ["pv_name"], F.lit(0)
+    seen = _waiting(events, keys, 0, "seq", F.lit(_EVENT), F.col("value"), no_window)
+    asked = _waiting(commands, keys, 0, "seq", _command(F.col("command"), _EVENT), F.lit(None), no_window)
     return (
-        seen.unionByName(asked)
-        .withWatermark("ts", f"{lateness_ms} milliseconds")
-        .groupBy("pv_name")
-        .transformWithStateInPandas(DeliveryProcessor(), DELIVERED, "append", "eventTime")
+        _in_order(seen.unionByName(asked), keys, DELIVERED, _take_active, False, lateness_ms)
         .withColumn("ts", F.timestamp_micros("at"))
         .drop("at")
     )

@@ -174,6 +174,37 @@ def test_triggered_streams(spark, tmp_path, files, late, seed):
     assert {"silent"} == {r.pv_name for r in got.where("seq IS NULL").collect() if r.trigger_id == 4}
 
 
+def finished(stream, tmp_path):
+    """The last progress of a stream that ran over all its input."""
+    query = (
+        stream.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
+    query.awaitTermination()
+    return query.lastProgress
+
+
+def test_a_key_is_one_row_of_the_state(spark, tmp_path):
+    log = events(spark, ITEMS)
+    orders = commands(spark, [("trigger", ms) for ms in (130, 400, 990)])
+    live, triggers = both(spark, log, orders, tmp_path, 2, 0)
+    listed = members(spark, PVS, 150)
+    last = finished(stateful.triggered_stream(live, triggers, listed, kind="timedbuffered"), tmp_path)
+    assert last["stateOperators"][0]["numRowsTotal"] == len(PVS)
+
+
+def test_nulls_of_ordered_rows(spark, tmp_path):
+    log = spark.createDataFrame(
+        [(None, "a", at(10), 1.0), (2**60 + 1, "a", at(20), 2.0), (3, "a", None, 3.0), (4, "a", at(9000), 4.0)],
+        "seq BIGINT, pv_name STRING, ts TIMESTAMP_NTZ, value DOUBLE")
+    orders = spark.createDataFrame(
+        [("snap", "trigger", 1, at(15)), ("snap", "trigger", None, at(30))],
+        "snapshot_name STRING, command STRING, trigger_id BIGINT, ts TIMESTAMP_NTZ")
+    live, triggers = (replay(spark, df, "value" if df is log else "ts", tmp_path / n, 1) for n, df in (("e", log), ("c", orders)))
+    got = delivery.run_append(
+        spark, stateful.triggered_stream(as_event_time(live), as_event_time(triggers), members(spark, ["a"], 150)), "t")
+    assert rows(got.select("trigger_id", "iteration", "seq", "value")) == [(1, 1, None, 1.0), (None, 2, 2**60 + 1, 2.0)]
+
+
 def test_what_the_watermark_has_not_passed_waits(spark, tmp_path):
     log = events(spark, [(1, "a", 10, 1), (2, "a", 500, 2)])
     orders = commands(spark, [("trigger", 100), ("trigger", 450)])
