@@ -12,6 +12,7 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -339,60 +340,83 @@ def delivery_stream(events: DataFrame, commands: DataFrame, lateness_ms: int = 0
 ASSEMBLED = "msg_id STRING, completed_at BIGINT, offset BIGINT, pv_name STRING, value STRING"
 
 
-class AssemblyProcessor(StatefulProcessor):
-    """Values of one open snapshot, until its first completing message.
+# Groups of snapshots that share a row of the state.  More of them suit more snapshots open or remembered at once.
+SNAPSHOT_GROUPS = 4096
+_OPEN_COLUMNS = ["id", "offset", "pv_name", "value"]
 
-    That a snapshot is complete is remembered, so that late messages are ignored.
-    """
 
-    def __init__(self, remember_ms: int | None) -> None:
-        self.remember_ms = remember_ms
+def _pack(frame: pd.DataFrame) -> bytes:
+    table = pa.Table.from_pandas(frame, preserve_index=False)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.done = handle.getValueState("done", "completed_at BIGINT", self.remember_ms)
-        self.values = handle.getListState("values", "offset BIGINT, pv_name STRING, value STRING")
 
-    def handleInputRows(
-        self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
-    ) -> Iterator[pd.DataFrame]:
-        if self.done.get() is not None:
-            return
-        batch = _gather(rows, "offset")
-        ends = batch["offset"][batch["completes"].astype(bool)]
-        is_value = ~pd.isna(batch["pv_name"])
-        if len(ends) == 0:
-            if is_value.any():
-                self.values.appendList(_rows(batch, is_value, "offset", "pv_name", "value"))
-            return
-        last = int(ends[0])
-        fresh = _rows(batch, is_value & (batch["offset"] < last), "offset", "pv_name", "value")
-        stored = [tuple(item) for item in self.values.get()]
-        if stored:
-            self.values.clear()
-        self.done.update((last,))
-        whole = [*stored, *fresh, (last, None, None)]
-        yield _frame([(key[0], last, *item) for item in whole], ASSEMBLED)
+def _unpack(packed: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(packed).read_all().to_pandas()
 
-    def close(self) -> None:
-        pass
 
+def _assemble(remember_ms: int | None) -> Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]:
+    """Values of the open snapshots of a group, each until its first completing message.
 
-def assembly_stream(messages: DataFrame, remember_ms: int | None = None) -> DataFrame:
+    Which snapshots are complete is remembered, so that late messages are ignored.  Snapshots are very many
+    and small, so a group of them is taken at once.
+    """
+
+    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.exists:
+            values, done = (_unpack(packed) for packed in state.get)
+        else:
+            values = pd.DataFrame(columns=_OPEN_COLUMNS).astype({"offset": "int64"})
+            done = pd.DataFrame({"id": pd.Series(dtype=object), "at_ms": pd.Series(dtype="int64")})
+        now = state.getCurrentProcessingTimeMs()
+        if remember_ms:
+            done = done[done["at_ms"] > now - remember_ms]
+        batch = pd.concat(list(frames), ignore_index=True).astype({"offset": "int64", "completes": bool})
+        batch = batch[~batch["id"].isin(done["id"])].sort_values("offset", kind="stable")
+        ends = batch[batch["completes"]].groupby("id")["offset"].min()
+        fresh = batch.loc[batch["pv_name"].notna(), _OPEN_COLUMNS]
+        closed, was_open = fresh["id"].isin(ends.index), values["id"].isin(ends.index)
+        if len(ends):
+            taken = fresh[closed]
+            taken = taken[taken["offset"].to_numpy() < ends.loc[taken["id"]].to_numpy()]
+            ending = pd.DataFrame({"id": ends.index, "offset": ends.to_numpy(), "pv_name": None, "value": None})
+            whole = pd.concat([values[was_open], taken, ending], ignore_index=True)
+            yield whole.assign(completed_at=ends.loc[whole["id"]].to_numpy())[_columns(_ASSEMBLED_IDS)]
+            done = pd.concat([done, pd.DataFrame({"id": ends.index, "at_ms": now})], ignore_index=True)
+        values = pd.concat([values[~was_open], fresh[~closed]], ignore_index=True)
+        state.update((_pack(values), _pack(done)))
+        if remember_ms and len(done):
+            state.setTimeoutDuration(max(1, int(done["at_ms"].min()) + remember_ms - now))
+
+    return step
+
+
+_ASSEMBLED_IDS = ASSEMBLED.replace("msg_id", "id")
+
+
+def assembly_stream(
+    messages: DataFrame, remember_ms: int | None = None, groups: int = SNAPSHOT_GROUPS
+) -> DataFrame:
     """One-shot snapshots of a live message log, one row per value.
 
-    ``messages`` has msg_id, offset and value, as ``routing.assemble_snapshots`` takes them.
-    The last row of a snapshot has a null ``pv_name``, so an empty one shows too.  A query
-    that runs for ever sets ``remember_ms``, after which a completed snapshot's last trace
+    ``messages`` has msg_id, offset and value, as ``routing.assemble_snapshots`` takes them; one without an
+    offset has no place in the log.  The last row of a snapshot has a null ``pv_name``, so an empty one shows
+    too.  A query that runs for ever sets ``remember_ms``, after which a completed snapshot's last trace
     leaves the state; the clock then keeps the query running, so leave it out when a query
-    should stop at the end of its input.
+    should stop at the end of its input.  Snapshots are dealt into ``groups`` by a hash of msg_id; a running
+    query keeps its number.
     """
-    return (
-        parse_one_shot(messages)
-        .groupBy("msg_id")
-        .transformWithStateInPandas(
-            AssemblyProcessor(remember_ms),
-            ASSEMBLED,
-            "append",
-            "processingTime" if remember_ms else "none",
-        )
+    # A null msg_id names a snapshot like any other.
+    name = F.coalesce(F.concat(F.lit("="), F.col("msg_id")), F.lit("")).alias("id")
+    parsed = parse_one_shot(messages).where(F.col("offset").isNotNull())
+    dealt = parsed.select(name, "offset", "completes", "pv_name", "value").withColumn(
+        "dealt", F.pmod(F.xxhash64("id"), F.lit(groups))
+    )
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if remember_ms else GroupStateTimeout.NoTimeout
+    assembled = dealt.groupBy("dealt").applyInPandasWithState(
+        _assemble(remember_ms), _ASSEMBLED_IDS, "open BINARY, done BINARY", "append", timeout
     )
+    msg_id = F.when(F.col("id") != "", F.substring("id", 2, 2**31 - 1)).alias("msg_id")
+    return assembled.select(msg_id, *_columns(ASSEMBLED)[1:])

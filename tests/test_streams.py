@@ -330,6 +330,19 @@ def test_one_shot_stream(spark, tmp_path, files):
     assert rows(out.where("pv_name IS NULL").select("msg_id", "offset")) == [("empty", 8), ("s", 4)]
 
 
+def test_one_shot_snapshots_share_rows_of_the_state(spark, tmp_path):
+    log = spark.createDataFrame(
+        [(i * 100 + j, f'{{"reply_id":"s","error":{int(j == 2 and i % 2)},"a":{j}}}', None if i == 99 else f"s{i}")
+         for i in range(100) for j in range(3)],
+        "offset BIGINT, value STRING, msg_id STRING")
+    stream = stateful.assembly_stream(replay(spark, log, "offset", tmp_path, 3), groups=4)
+    last = finished(stream, tmp_path)
+    assert last["stateOperators"][0]["numRowsTotal"] <= 4
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert got.count() == 150 and got.where("msg_id IS NULL").count() == 3
+    assert got.where("pv_name IS NULL").count() == 50
+
+
 def test_traffic_stream(spark, tmp_path):
     log = spark.createDataFrame(
         [("tu"[i % 2], at(i * 40), "x" * i) for i in range(30)], "topic STRING, ts TIMESTAMP_NTZ, value STRING")
