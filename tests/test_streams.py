@@ -280,6 +280,17 @@ def test_request_reply_stream(spark, tmp_path):
                    "none": ("timeout", None, None), "pend": ("pending", None, None), "two": ("ok", 0, 30)}
 
 
+def test_a_join_of_streams_has_one_store_a_partition(spark, tmp_path):
+    requests = spark.createDataFrame([("r", "p", at(0), 100)], "reply_id STRING, pv_name STRING, ts TIMESTAMP_NTZ, timeout_ms BIGINT")
+    replies = spark.createDataFrame([("r", at(60), 0, "m")], "reply_id STRING, ts TIMESTAMP_NTZ, error INT, message STRING")
+    (tmp_path / "q").mkdir(), (tmp_path / "r").mkdir()
+    stream = keyed.correlate_stream(
+        event_replay(spark, requests, tmp_path / "q", 1), event_replay(spark, replies, tmp_path / "r", 1), 100)
+    finished(stream, tmp_path)
+    folders = [path.name for path in (tmp_path / "ck" / "state").rglob("*") if path.is_dir()]
+    assert folders and not [name for name in folders if "key" in name.lower()]
+
+
 def test_rows_reach_user_code(spark, tmp_path):
     log = events(spark, ITEMS)
     target = tmp_path / "seen"
