@@ -3,6 +3,7 @@
 import random
 from collections import defaultdict
 
+import pyarrow as pa
 import pytest
 from helpers import ORIGIN_MS, at, events, members, rows
 from pyspark.sql import functions as F
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 from pvspark import schemas
 from pvspark.operators import latest, reassembly, routing, snapshots, subscriptions, traffic, triggered
 from pvspark.sources.live import as_event_time, file_stream
-from pvspark.streaming import delivery, keyed, stateful, windows
+from pvspark.streaming import delivery, keyed, outcomes, stateful, windows
+from pvspark.streaming.outcomes import REPLY, REQUEST
 
 PVS = ["a", "b"]
 ITEMS = [(i, "abax"[i % 4], (i * 37) % 1000, i) for i in range(60)]
@@ -280,6 +282,101 @@ def test_request_reply_stream(spark, tmp_path):
                    "none": ("timeout", None, None), "pend": ("pending", None, None), "two": ("ok", 0, 30)}
 
 
+REQUESTS = "reply_id STRING, pv_name STRING, ts TIMESTAMP_NTZ, timeout_ms BIGINT"
+REPLIES = "reply_id STRING, ts TIMESTAMP_NTZ, error INT, message STRING"
+
+
+def asked_and_answered(spark, requests, replies, tmp_path, files=1, late=0, seed=1):
+    """Requests and replies (``ts`` in ms) as two streams of files; rows come up to ``late`` ms behind their time.
+
+    The last file of each has a row far ahead, whose watermark closes all that came before.
+    """
+    rng = random.Random(seed)
+    streams = []
+    for schema, items, when, end in (
+        (REQUESTS, requests, 2, ("end", "p", 10**6, 1)), (REPLIES, replies, 1, ("end", 10**6, 0, "m"))
+    ):
+        parts = [[] for _ in range(files)] + [[end]]
+        for item in items:
+            came = (item[when] or 0) + rng.uniform(0, late)
+            parts[max(0, min(files - 1, int(came * files / 1000)))].append(item)
+        folder = str(tmp_path / schema.split()[-2])
+        for part in parts:
+            rng.shuffle(part)
+            rows_of = [(*r[:when], None if r[when] is None else at(r[when]), *r[when + 1:]) for r in part]
+            spark.createDataFrame(rows_of, schema).coalesce(1).write.mode("append").parquet(folder)
+        streams.append(as_event_time(file_stream(spark, folder, spark.createDataFrame([], schema).schema, max_files=1)))
+    return streams
+
+
+def outcomes_by_definition(requests, replies, bound):
+    def order(reply):
+        _, when, error, message = reply
+        return when, error is not None, error or 0, message is not None, message or ""
+
+    out = []
+    for reply_id, pv, when, timeout in set(requests):
+        until = when + (bound if timeout is None else min(bound, timeout))
+        timely = [r for r in replies if r[0] is not None and r[0] == reply_id and when <= r[1] <= until]
+        first = min(timely, key=order, default=None)
+        if first is None:
+            out.append((reply_id, pv, at(when), "pending" if timeout is None else "timeout", None, None, None))
+        else:
+            error = first[2] or 0
+            out.append((reply_id, pv, at(when), "error" if error else "ok", error, first[3], first[1] - when))
+    return sorted(out, key=repr)
+
+
+@IN_ANY_ORDER
+def test_first_replies_of_repeated_requests(spark, tmp_path, files, late, seed):
+    rng = random.Random(seed)
+    ids = [None, *(f"r{i}" for i in range(12))]
+    requests = [(rng.choice(ids), rng.choice([None, "p", "q"]), rng.randrange(1, 999), rng.choice([None, 0, 40, 100]))
+                for _ in range(80)]
+    requests += rng.choices(requests, k=20)
+    replies = [(rng.choice(ids), rng.randrange(1, 999), rng.choice([None, 0, 4]), rng.choice([None, "m", "n\u00e9"]))
+               for _ in range(150)]
+    replies += [(reply_id, when, rng.choice([None, 0, 4]), "m") for reply_id, _, when, _ in rng.choices(requests, k=30)]
+    live, answers = asked_and_answered(spark, requests, replies, tmp_path, files, late, seed)
+    got = delivery.run_append(spark, keyed.correlate_stream(live, answers, 100, lateness_ms=late), "t")
+    assert rows(got.withColumn("requested_at", F.col("requested_at").cast("timestamp_ntz"))) == outcomes_by_definition(
+        requests, replies, 100)
+
+
+def test_requests_share_a_row_of_the_state(spark, tmp_path):
+    requests = [(f"r{i}", "p", 1 + i % 900, 100) for i in range(300)]
+    replies = [(f"r{i}", 5 + i % 900, 0, "m") for i in range(300) for _ in range(3)]
+    live, answers = asked_and_answered(spark, requests, replies, tmp_path, 2)
+    last = finished(keyed.correlate_stream(live, answers, 100, groups=4), tmp_path)
+    assert [operator["numRowsTotal"] <= 4 for operator in last["stateOperators"]] == [True]
+
+
+def test_requests_without_an_instant_or_far_off(spark, tmp_path):
+    far, past = 250_000_000_000_000, -2 * 10**12
+    requests = [("a", None, 1, None), (None, "p", 1, 50), ("b", "p", None, 50), ("far", "p", far, 50), ("past", "p", past, 50)]
+    replies = [("a", 1, None, None), (None, 1, 1, "m"), ("b", None, 0, "m"), ("far", far, 0, "m"), ("past", past, 0, "m")]
+    live, answers = asked_and_answered(spark, requests, replies, tmp_path)
+    got = delivery.run_append(spark, keyed.correlate_stream(live, answers, 100), "t")
+    assert rows(got.select("reply_id", "pv_name", "status", "error", "message", "latency_ms").where(
+        "reply_id IS NULL OR reply_id <> 'end'")) == rows(spark.createDataFrame(
+            [("a", None, "ok", 0, None, 0), (None, "p", "timeout", None, None, None)],
+            "reply_id STRING, pv_name STRING, status STRING, error INT, message STRING, latency_ms BIGINT"))
+
+
+def test_a_passed_reply_waits_only_with_its_request():
+    waiting = [(b"a", b"p", 1000, 100, True, REQUEST), (b"b", b"p", 2000, 0, False, REQUEST), (b"b", b"m", 2500, 0, True, REPLY),
+               (b"a", b"n", 3000, 0, True, REPLY), (b"a", b"m", 3000, 0, True, REPLY), (b"a", b"m", 4000, 0, True, REPLY),
+               (b"c", b"m", 4000, 0, True, REPLY), (b"a", b"m", 6000, 0, True, REPLY), (b"c", b"m", 6000, 0, True, REPLY)]
+    table = pa.Table.from_arrays(
+        [pa.array(column, field.type) for column, field in zip(zip(*waiting), outcomes._WAITING)], schema=outcomes._WAITING)
+    rest, done = outcomes._settle(table, 100, 5)
+    assert not len(done)
+    assert rest.to_pylist() == [table.to_pylist()[i] for i in (0, 1, 2, 4, 7, 8)]
+    rest, done = outcomes._settle(rest, 100, 102)
+    assert done[["id", "replied", "message"]].values.tolist() == [[b"a", 3000, b"m"]]
+    assert [r["id"] for r in rest.to_pylist()] == [b"b", b"b"]
+
+
 def test_a_join_of_streams_has_one_store_a_partition(spark, tmp_path):
     requests = spark.createDataFrame([("r", "p", at(0), 100)], "reply_id STRING, pv_name STRING, ts TIMESTAMP_NTZ, timeout_ms BIGINT")
     replies = spark.createDataFrame([("r", at(60), 0, "m")], "reply_id STRING, ts TIMESTAMP_NTZ, error INT, message STRING")
